@@ -12,6 +12,8 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import itertools
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from .common import id_text
 
 #: Bounds of the caches of one worker: transducer states, pairs of tokens, and whole pre-tokens. A full cache restarts.
-MAX_STATES, MAX_PAIRS, MAX_WORDS = 200_000, 500_000, 300_000
+MAX_STATES, MAX_PAIRS, MAX_WORDS = 450_000, 800_000, 700_000
 #: Above every rank.
 NEVER = 1 << 40
 
@@ -199,7 +201,8 @@ class Codec:
         for word in self.split(text):
             ids = packed.get(word)
             if ids is None:
-                ids = np.array(self.fst.encode(word.encode("utf-8")), "<u4").tobytes()
+                found = self.fst.encode(word.encode("utf-8"))
+                ids = struct.pack(f"<{len(found)}I", *found)
                 if len(word) <= 64:
                     if len(packed) >= MAX_WORDS:
                         packed.clear()
@@ -212,13 +215,10 @@ class Codec:
 
     def decode(self, ids: Iterable[int], chunk: int = 65536) -> Iterator[str]:
         """Text in parts, as ids come."""
-        stream, held = Utf8Stream(), []
-        for i in ids:
-            held.append(self.bytes_of[i])
-            if len(held) >= chunk:
-                yield stream.feed(b"".join(held))
-                held.clear()
-        yield stream.feed(b"".join(held), final=True)
+        stream, ids, of = Utf8Stream(), iter(ids), self.bytes_of.__getitem__
+        while part := b"".join(map(of, itertools.islice(ids, chunk))):
+            yield stream.feed(part)
+        yield stream.feed(b"", final=True)
 
 
 @functools.cache
