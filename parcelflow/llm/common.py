@@ -5,9 +5,17 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Bits of a key filter: 8 MB, whatever the input.
+FILTER_BITS = 1 << 26
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,3 +50,52 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def fold(id_col: str, parts: int):
     """crc32 of the id as text, modulo parts; null for a null id."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % parts
+
+
+def _filter_places(keys: np.ndarray) -> list[np.ndarray]:
+    x = keys.astype(np.int64).view(np.uint64)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return [(x >> np.uint64(s)) & np.uint64(FILTER_BITS - 1) for s in (0, 19, 38)]
+
+
+def key_filter(keys: DataFrame):
+    """A broadcast Bloom filter of the long column of keys, and its test: a function from numpy keys to booleans.
+
+    It has a fixed size. It is true for every key of the table and for few others, so that what a join would drop
+    anyway need not be shuffled first; the join still follows.
+    """
+    spark, col = keys.sparkSession, keys.columns[0]
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(np.concatenate(_filter_places(batch.column(0).to_numpy(zero_copy_only=False))))
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))], ["word", "bits"])
+
+    found = keys.select(col).where(F.col(col).isNotNull()).mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    found = found.toArrow()  # at most FILTER_BITS / 64 rows
+    table = np.zeros(FILTER_BITS // 64, np.uint64)
+    if found.num_rows:
+        table[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    shared = spark.sparkContext.broadcast(table)
+
+    def test(keys: np.ndarray) -> np.ndarray:
+        ok, table = np.ones(len(keys), bool), shared.value
+        for at in _filter_places(keys):
+            ok &= (table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+        return ok
+
+    return test
+
+
+def maybe_in(df: DataFrame, col: str, keys: DataFrame, name: str = "maybe") -> DataFrame:
+    """df with a boolean column: false where col is surely not in keys."""
+    test = key_filter(keys)
+    at = df.columns.index(col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = test(pc.fill_null(batch.column(at), 0).to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ok)], [*batch.schema.names, name])
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.BooleanType())]))

@@ -9,22 +9,55 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import encode_documents
 from .common import documents
 from .exact_dedup import exact_dedup
+from .langid import identify_languages
+from .licenses import scan_licenses
+from .lm import score_documents
+from .minhash import near_components
 from .packing import pack
+from .suffix_dedup import suffix_dedup
+from .toxicity import score_toxicity
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(documents(spark, sf_dir))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(documents(spark, sf_dir))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(documents(spark, sf_dir))
+
+
+def op6_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(documents(spark, sf_dir))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir))
+
+
+def op9_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_components(documents(spark, sf_dir), percent=85)
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op4_byte_bpe, op10_best_fit_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (op1_exact_dedup, op2_suffix_dedup, op4_byte_bpe, op5_language_id, op6_deleted_interpolation, op7_toxicity, op8_license_scan, op9_minhash_components, op10_best_fit_packing)
+}
 
 #: Only where SQL can express the whole result.
 ORACLE_SQL: dict[str, str] = {
