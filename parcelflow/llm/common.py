@@ -99,3 +99,12 @@ def maybe_in(df: DataFrame, col: str, keys: DataFrame, name: str = "maybe") -> D
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ok)], [*batch.schema.names, name])
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.BooleanType())]))
+
+
+def drop_ids(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """docs without the rows whose id is in the one column of gone. Only rows that the filter cannot clear are shuffled."""
+    gone = gone.toDF("__gone").distinct()
+    keyed = docs.withColumn("__key", F.col(id_col).cast("long"))
+    marked = maybe_in(keyed, "__key", gone, "__maybe")
+    left = marked.where("__maybe").join(gone, F.col("__key") == F.col("__gone"), "left_anti")
+    return marked.where("not __maybe").select(*docs.columns).union(left.select(*docs.columns))

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import fold
 from .textbytes import buffers
@@ -176,44 +177,48 @@ def train_network(docs: DataFrame, parts: int = 5, held: int = 0, documents: int
     return langs, net
 
 
-def identify_languages(docs: DataFrame, parts: int = 5, held: int = 0) -> DataFrame:
-    """One row per row of docs: doc_id, held_out, lang_pred, score.
-
-    The network reads nothing but text. Null texts and texts without any letter are `und` with score 0, and so is every
-    text if no labelled one exists. A null id is in no fold: it is never learned from and its held_out is null. Repeated
-    and tied rows are predicted alike; of tied languages the first by name is taken. Columns but doc_id, text and lang
-    are not read.
-    """
-    rows = docs.select("doc_id", "text", "lang")
-    langs, net = train_network(rows, parts, held)
-    has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), (fold("doc_id", parts) == held).alias("held_out"), F.when(has_letter, F.col("text")).otherwise("").alias("text"))
+def _predicted(docs: DataFrame, parts: int, held: int) -> DataFrame:
+    """docs with __lang and __score, in one pass over the rows as they stand: nothing is shuffled."""
+    langs, net = train_network(docs.select("doc_id", "text", "lang"), parts, held)
+    letters = docs.withColumn("__text", F.when(F.col("text").rlike(r"\p{L}"), F.col("text")).otherwise(""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = buffers(batch.column(2))
+            data, offsets = buffers(batch.column(batch.num_columns - 1))
             name, score = ["und"] * batch.num_rows, [0.0] * batch.num_rows
             if net is not None and len(data):
                 p = net.of_documents(data, offsets)
                 for i in np.flatnonzero(np.diff(offsets)):
                     best = int(p[i].argmax())
                     name[i], score[i] = langs[best], min(1.0, float(p[i, best]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(name, pa.string()), pa.array(score, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(name, pa.string()), pa.array(score, pa.float64())], [*batch.schema.names[:-1], "__lang", "__score"])
+
+    return letters.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__lang", T.StringType()), T.StructField("__score", T.DoubleType())]))
+
 
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+def identify_languages(docs: DataFrame, parts: int = 5, held: int = 0) -> DataFrame:
+    """One row per row of docs: doc_id, held_out, lang_pred, score.
+
+    The network reads nothing but text. Null texts and texts without any letter are `und` with score 0, and so is every
+    text if no labelled one exists. A null id is in no fold: it is never learned from and its held_out is null. Repeated
+    and tied rows are predicted alike; of tied languages the first by name is taken. Columns but doc_id, text and lang
+    are not read.
+    """
+    found = _predicted(docs.select("doc_id", "text", "lang"), parts, held)
+    return found.select(F.col("doc_id").cast("long").alias("doc_id"), (fold("doc_id", parts) == held).alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
 
 
-#: A text is rejected only if it has no language at all.
-MIN_SCORE = 0.0
+#: A text is rejected if it has no language, or if none has this share of its positions.
+MIN_SCORE = 0.3
 
 
 def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """docs without the texts that have no language, or one with a lower score than min_score; same columns.
-
-    Rows are told apart by id and text, so a repeated or null id loses only the rejected text.
-    """
-    found = identify_languages(docs)
-    if min_score <= 0:  # `und` follows from the text alone
-        return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    bad = found.where((F.col("lang_pred") == "und") | (F.col("score") < min_score)).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(bad, F.col("doc_id") == F.col("__gone"), "left_anti")
+    """docs without the texts that identify_languages gives no language, or one with a score under min_score; same
+    columns. Where there is no labelled text to learn from, only texts without letters go."""
+    found = _predicted(docs, 5, 0)
+    learned = F.col("__lang") != "und"
+    if docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", 5) != 0)).take(1):
+        keep = learned & (F.col("__score") >= min_score)
+    else:
+        keep = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    return found.where(keep).select(*docs.columns)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import id_text, maybe_in, shared_table
+from .common import drop_ids, id_text, maybe_in, shared_table
 from .components import connected_components
 from .textbytes import NOT_SPACE, U64, buffers, mix, slices, words
 
@@ -268,5 +268,5 @@ def near_components(docs: DataFrame, percent: int = 80, size: int = SHINGLE) ->
 
 def drop_near_copies(docs: DataFrame, percent: int = 80) -> DataFrame:
     """docs with one document, the smallest id, of each component; same columns."""
-    gone = near_components(docs, percent).where(~F.col("kept")).select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone.distinct(), F.col("doc_id") == F.col("__gone"), "left_anti")
+    gone = near_components(docs, percent).where(~F.col("kept")).select("doc_id")
+    return drop_ids(docs, shared_table(gone, "gone"))

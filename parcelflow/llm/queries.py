@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import encode_documents
 from .common import documents
 from .exact_dedup import exact_dedup
+from .fingerprints import align_recordings, fingerprint_media
 from .langid import identify_languages
 from .licenses import scan_licenses
 from .lm import score_documents
@@ -26,6 +27,12 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(documents(spark, sf_dir))
 
 
+def op3_chroma_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables hold no audio: each document's bytes are taken as 8-bit mono samples, so copies are equal recordings."""
+    media = documents(spark, sf_dir).selectExpr("doc_id", "cast(text as binary) as content")
+    return align_recordings(fingerprint_media(media, "doc_id")).withColumnsRenamed({"media_id": "doc_id"})
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(documents(spark, sf_dir))
 
@@ -56,7 +63,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_suffix_dedup, op4_byte_bpe, op5_language_id, op6_deleted_interpolation, op7_toxicity, op8_license_scan, op9_minhash_components, op10_best_fit_packing)
+    for f in (op1_exact_dedup, op2_suffix_dedup, op3_chroma_fingerprints, op4_byte_bpe, op5_language_id, op6_deleted_interpolation, op7_toxicity, op8_license_scan, op9_minhash_components, op10_best_fit_packing)
 }
 
 #: Only where SQL can express the whole result.
