@@ -1,27 +1,59 @@
-"""The corpus pipeline: filter, deduplicate and pack the documents table."""
+"""The corpus pipeline: filter, deduplicate and pack the documents table.
+
+Each stage applies one operator of parcelflow.llm to all that the stage before it kept. Stages are written to the shared
+folder and read again, so a lost executor costs at most the stage that runs.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parcelflow.llm.common import documents, shared_table
 from parcelflow.llm.exact_dedup import drop_exact_copies
+from parcelflow.llm.langid import keep_identified
+from parcelflow.llm.minhash import drop_near_copies
 from parcelflow.llm.packing import pack
+from parcelflow.llm.suffix_dedup import cut_repeats
+
+#: Near copies share at least so many per cent of their five-word shingles.
+NEAR_PERCENT = 80
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a language go: null and empty ones, ones without a letter, and ones that the network cannot place."""
+    return keep_identified(docs)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each set of equal texts stays."""
+    """Of equal texts, the one with the smallest id stays."""
     return drop_exact_copies(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near copies, the one with the smallest id stays."""
+    return drop_near_copies(docs, NEAR_PERCENT)
+
+
+def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes in 400-byte strings that start more than once are cut out; n_chars follows the text."""
+    return cut_repeats(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining texts in sequences of at most 1024 ids."""
     return pack(docs)
 
 
-STAGES = [("exact_dedup", exact_copies), ("best_fit_packing", packed)]
+STAGES = [
+    ("language_id", language_id),
+    ("exact_dedup", exact_copies),
+    ("minhash_near_dedup", near_copies),
+    ("suffix_dedup", repeated_strings),
+    ("best_fit_packing", packed),
+]
 
-#: Language ID, set links, byte spans and token ids have no SQL form; tests hold run() against brute force.
+#: Predictions of a network, set links, byte spans and token ids have no SQL form; tests hold run() against brute force.
 ORACLE_SQL = None
 
 
