@@ -5,9 +5,10 @@
 2. Bands deal the classes into buckets. Each bucket's smallest id is its hub; (hub, member) pairs are as many as members.
 3. Pairs are compared by batches of the signature. After each batch a pair is dropped if the posterior probability that
    its similarity reaches the threshold is below MISS. Survivors are verified on the full shingle sets.
-4. Verified links make components. In buckets that still hold several components, every pair across components is
-   compared in blocks of bounded size inside tasks, by the same sequential test; only survivors leave the task, are
-   verified and join the components. So no link between candidates is lost and no bucket's pairs are written out.
+4. Verified links make components. In buckets that still hold several components, pairs across components are compared
+   in blocks of bounded size inside tasks: once, in the first band they share, by the same sequential test, and survivors
+   on their full sets. A link found there joins its components at once, so what leaves a task is at most a link for each
+   member. So no link between candidates is lost, and no bucket's pairs are ever rows.
 """
 
 from __future__ import annotations
@@ -100,6 +101,14 @@ def shingle_sets(column: pa.Array, size: int = SHINGLE) -> Iterator[np.ndarray]:
                 yield np.zeros(0, U64)
 
 
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two full sets have 100 * intersection >= percent * union; empty ones never have."""
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common > 0 and 100 * common >= percent * (len(a) + len(b) - common)
+
+
 def sketch(docs: DataFrame, threshold: float, size: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, k1, k2: a 128-bit key of the set, signature binary, bands array<long>)."""
     rows, bands = band_plan(threshold)
@@ -160,51 +169,57 @@ def verify(pairs: DataFrame, texts: DataFrame, percent: int, size: int = SHINGLE
                 left = list(shingle_sets(text_a.dictionary, size))
                 ok = []
                 for k, right in zip(text_a.indices.to_pylist(), shingle_sets(part.column("text_b"), size)):
-                    common = len(np.intersect1d(left[k], right, assume_unique=True))
-                    ok.append(common > 0 and 100 * common >= percent * (len(left[k]) + len(right) - common))
+                    ok.append(similar(left[k], right, percent))
                 yield part.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     both = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def across(members: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
-    """Pairs (a, b) of different components in one bucket that the sequential test leaves.
+def across(members: DataFrame, percent: int, size: int = SHINGLE, block: int = BLOCK) -> DataFrame:
+    """Verified links (a, b) that join different components of a bucket, as many as joining them takes.
 
-    members: (key, doc_id, component, signature, n: members of the bucket). A bucket of more than `block` members is cut
-    into blocks by a hash of the id, and each two blocks meet in a task of their own.
+    members: (key, band, n: members of the bucket, doc_id, component, signature, bands, text). A bucket of more than
+    `block` members is cut into blocks by a hash of the id, and each two blocks meet in a task of their own.
     """
-    rows, bands = band_plan(threshold)
-    needed = least_matches(threshold, rows * bands)
+    rows, bands = band_plan(percent / 100)
+    needed = least_matches(percent / 100, rows * bands)
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
     met = F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(F.least(own, o).alias("i"), F.greatest(own, o).alias("j")))
-    dealt = members.withColumn("met", F.explode(met)).withColumn("own", own).select("key", "met.i", "met.j", "own", "doc_id", "component", "signature")
+    dealt = members.withColumn("met", F.explode(met)).withColumn("own", own).select("key", "met.i", "met.j", "own", "band", "doc_id", "component", "signature", "bands", "text")
     dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def compare(table: pa.Table) -> pa.RecordBatch:
-        key, i, j, own, ids, comp = (table.column(c).to_numpy() for c in ("key", "i", "j", "own", "doc_id", "component"))
-        sig = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(len(ids), -1)
+        key, i, j, own, band, ids, comp = (table.column(c).to_numpy() for c in ("key", "i", "j", "own", "band", "doc_id", "component"))
+        n = len(ids)
+        sig = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(n, -1)
+        keys = pc.list_flatten(table.column("bands").combine_chunks()).to_numpy().reshape(n, -1)
+        texts = pc.dictionary_encode(table.column("text").combine_chunks())
+        sets, text = list(shingle_sets(texts.dictionary, size)), texts.indices.to_numpy()
+        _, comp = np.unique(comp, return_inverse=True)
+        root = np.arange(int(comp.max()) + 1)
         new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
-        left_in_group = np.repeat(np.append(new[1:], len(ids)), np.diff(np.append(new, len(ids)))) - np.arange(len(ids)) - 1
-        out_a, out_b = [], []
+        left_in_group = np.repeat(np.append(new[1:], n), np.diff(np.append(new, n))) - np.arange(n) - 1
+        earlier = np.arange(keys.shape[1])
+        links, lag = [], 1
         at = np.flatnonzero(left_in_group > 0)
-        lag = 1
         while len(at):
-            for k in range(0, len(at), 65536):
-                a = at[k : k + 65536]
+            for k in range(0, len(at), 8192):
+                a = at[k : k + 8192]
                 b = a + lag
-                ok = (comp[a] != comp[b]) & ((i[a] == j[a]) | (own[a] != own[b]))
+                ok = (root[comp[a]] != root[comp[b]]) & ((i[a] == j[a]) | (own[a] != own[b]))
+                a, b = a[ok], b[ok]
+                ok = ~((keys[a] == keys[b]) & (earlier < band[a][:, None])).any(1)
                 a, b = a[ok], b[ok]
-                if len(a):
-                    stay = survivors(sig[a], sig[b], needed)
-                    out_a.append(ids[a[stay]])
-                    out_b.append(ids[b[stay]])
+                for x in survivors(sig[a], sig[b], needed).tolist() if len(a) else ():
+                    r, q = root[comp[a[x]]], root[comp[b[x]]]
+                    if r != q and similar(sets[text[a[x]]], sets[text[b[x]]], percent):
+                        root[root == q] = r
+                        links.append((ids[a[x]], ids[b[x]]))
             lag += 1
             at = at[left_in_group[at] >= lag]
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_a, out_b))
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array([min(x) for x in links], pa.int64()), pa.array([max(x) for x in links], pa.int64())], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -243,7 +258,7 @@ def near_components(docs: DataFrame, percent: int = 80, size: int = SHINGLE) ->
     reps = shared_table(usable.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "signature", "bands"), "classes")
 
     w = W.partitionBy("key")
-    dealt = reps.select("doc_id", F.explode("bands").alias("key"))
+    dealt = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
     dealt = dealt.withColumns({"hub": F.min("doc_id").over(w), "n": F.count(F.lit(1)).over(w)}).where("n > 1")
     dealt = shared_table(dealt, "buckets")
     texts = maybe_in(id_text(docs).where(F.col("doc_id").isNotNull()), "doc_id", dealt.select("doc_id").distinct())
@@ -255,8 +270,8 @@ def near_components(docs: DataFrame, percent: int = 80, size: int = SHINGLE) ->
 
     named = dealt.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     mixed = named.withColumns({"low": F.min("component").over(w), "high": F.max("component").over(w)}).where("low < high")
-    mixed = mixed.select("key", "doc_id", "component", "n").join(reps.select("doc_id", "signature"), "doc_id")
-    more = shared_table(verify(across(mixed, threshold), texts, percent, size), "verified")
+    mixed = mixed.select("key", "band", "n", "doc_id", "component").join(reps, "doc_id").join(texts.withColumnRenamed("doc_id", "of"), F.col("doc_id") == F.col("of"))
+    more = shared_table(across(mixed, percent, size), "verified")
     if more.take(1):
         found = connected_components(links.union(more))
 

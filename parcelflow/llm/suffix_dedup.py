@@ -32,8 +32,9 @@ from .textbytes import BYTE_KEYS, U64, buffers, mix, slices
 
 LENGTH = 400
 GRAM = 32
-#: Contexts of one minimiser that may stand in one shard, and the bytes of a shard.
-SHARD_CONTEXTS, SHARD_BYTES = 20_000, 6 << 20
+#: Contexts of one minimiser that may stand in one shard, the bytes of a shard (its arrays take some 60 times as much),
+#: and shards that a task sorts one after another.
+SHARD_CONTEXTS, SHARD_BYTES, SHARDS_A_TASK = 4000, 5 << 19, 6
 #: Stands between contexts in a shard; no UTF-8 text holds it.
 WALL = 255
 _STEPS = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
@@ -156,31 +157,39 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def shard_repeats(contents: DataFrame, shards: int, length: int) -> DataFrame:
     """(key, context, low, high): runs of repeated windows in each context, from one suffix array a shard."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, contexts, windows, texts = [], [], [], []
-        for batch in batches:
-            keys += batch.column(0).to_pylist()
-            contexts += batch.column(1).to_pylist()
-            windows += batch.column(2).to_pylist()
-            texts += batch.column(3).to_pylist()
-        if not texts:
-            return
+    def sort(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(rows)
+        texts = table.column("bytes").to_pylist()
         text = np.frombuffer(bytes([WALL]) + bytes([WALL]).join(texts) + bytes([WALL]), np.uint8)
         at = np.cumsum([1, *(len(t) + 1 for t in texts[:-1])])
         del texts
         plcp, before = common_prefixes(text, suffix_array(text), WALL)
         repeated = plcp >= length
         repeated[before[repeated]] = True  # the neighbour on the other side
-        owner_key, owner, low, high = [], [], [], []
         first, last = _runs(repeated)
-        for a, b, k in zip(first.tolist(), last.tolist(), (np.searchsorted(at, first, "right") - 1).tolist()):
-            owner_key.append(keys[k])
-            owner.append(contexts[k])
-            low.append(a - int(at[k]))
-            high.append(b - int(at[k]))
-        yield pa.RecordBatch.from_arrays([pa.array(owner_key, pa.int64()), pa.array(owner, pa.int64()), pa.array(low, pa.int32()), pa.array(high, pa.int32())], ["key", "context", "low", "high"])
-
-    return contents.repartition(shards, "key").mapInArrow(run, "key long, context long, low int, high int")
+        owner = np.searchsorted(at, first, "right") - 1
+        take = pa.array(owner)
+        low, high = first - at[owner], last - at[owner]
+        return pa.RecordBatch.from_arrays([table.column(c).take(take).combine_chunks() for c in ("key", "context")] + [pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))], ["key", "context", "low", "high"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            shard = batch.column("shard").to_numpy()
+            cuts = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1).tolist(), len(shard)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if held and held[-1].column("shard")[0].as_py() != shard[a]:
+                    yield sort(held)
+                    held = []
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield sort(held)
+
+    dealt = contents.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
+    dealt = dealt.repartition(max(1, -(-shards // SHARDS_A_TASK)), "shard").sortWithinPartitions("shard")
+    return dealt.mapInArrow(run, "key long, context long, low int, high int")
 
 
 def window_repeats(contents: DataFrame, length: int) -> DataFrame:

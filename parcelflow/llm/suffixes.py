@@ -43,15 +43,10 @@ def _by_doubling(text: np.ndarray) -> np.ndarray:
 
 def _types(text: np.ndarray) -> np.ndarray:
     """True for S suffixes. A virtual smallest symbol follows the last one."""
-    n = len(text)
-    differs = np.flatnonzero(text[1:] != text[:-1])
-    small = np.zeros(n, bool)
-    if len(differs):
-        nxt = np.searchsorted(differs, np.arange(n))  # the next place where the text changes decides
-        known = nxt < len(differs)
-        at = differs[nxt[known]]
-        small[known] = text[at] < text[at + 1]
-    return small
+    runs = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
+    symbols = text[runs]
+    rises = np.append(symbols[:-1] < symbols[1:], False)  # a run is decided by the symbol after it
+    return np.repeat(rises, np.diff(np.append(runs, len(text))))
 
 
 def _deal(text: np.ndarray, who: np.ndarray, queues: list[list[np.ndarray]]) -> None:
@@ -141,7 +136,7 @@ def suffix_array(text: np.ndarray, symbols: int = 256) -> np.ndarray:
             k += 1
         names = np.cumsum(np.concatenate([[0], ~equal]))
         if names[-1] + 1 < len(lms):
-            named = np.zeros(n, np.int64)
+            named = np.zeros(n, kind)
             named[order] = names
             order = lms[suffix_array(named[lms], int(names[-1]) + 1)]
         lms = order
@@ -156,26 +151,30 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, wall: int) -> tuple[np.
     compared symbol by symbol (Karkkainen, Manzini and Puglisi's irreducible ones).
     """
     n = len(text)
-    before = np.empty(n, np.int64)
+    kind = order.dtype
+    before = np.empty(n, kind)
     before[order[1:]] = order[:-1]
-    first = int(order[0])
-    before[first] = first
-    here = np.arange(n)
-    left, other = text[here - 1], text[before - 1]
-    fresh = (left != other) | (left == wall) | (here == 0) | (before == 0) | (before == here)
-    fresh[1:] |= before[:-1] == here[:-1]
+    before[order[0]] = order[0]
+    here = np.arange(n, dtype=kind)
+    left = np.roll(text, 1)
+    fresh = (left != left[before]) | (left == wall)
+    fresh |= before == here
     fresh[1:] |= before[1:] != before[:-1] + 1
-    at = np.flatnonzero(fresh)
-    value = np.zeros(len(at), np.int64)
-    alive = np.flatnonzero(before[at] != at)
+    fresh[0] = True
+    fresh[before == 0] = True
+    at = here[fresh]
+    value = np.zeros(len(at), kind)
+    other = before[at]
+    alive = np.flatnonzero(other != at)
     k = 0
     while len(alive):
-        a, b = at[alive] + k, before[at[alive]] + k
+        a, b = at[alive] + kind.type(k), other[alive] + kind.type(k)
         inside = np.maximum(a, b) < n
         alive, a, b = alive[inside], a[inside], b[inside]
         ok = (text[a] == text[b]) & (text[a] != wall)
         alive = alive[ok]
         k += 1
         value[alive] = k
-    owner = np.cumsum(fresh) - 1
-    return np.maximum(value[owner] - (here - at[owner]), 0), before
+    length = np.repeat(value + at, np.diff(np.append(at, n)))
+    length -= here
+    return np.maximum(length, 0, out=length), before

@@ -90,3 +90,26 @@ def test_components(spark):
         root[max(a, b)] = min(a, b)
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(links, "a long, b long").repartition(7)).collect()}
     assert got == {x: find(x) for x in root if find(x) != x}
+
+
+def family(seed, n=70):
+    """Copies of one text with so many edits that most reach the threshold only with some others."""
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for k in rng.sample(range(120), rng.randint(0, 6)):
+            words[k] = f"e{rng.randint(0, 3)}"
+        rows.append((i + 1, " ".join(words)) + (None,) * 7)
+    return rows
+
+
+@pytest.mark.parametrize("block", [2048, 16])
+def test_dense_family(spark, block, monkeypatch):
+    from parcelflow.llm import minhash
+
+    monkeypatch.setattr(minhash.across, "__defaults__", (minhash.SHINGLE, block))
+    rows = family(7)
+    got = near_components(spark.createDataFrame(rows, SCHEMA), 85).drop("class_id").collect()
+    assert sorted(repr(tuple(r)) for r in got) == brute(rows, 85)
