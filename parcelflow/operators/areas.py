@@ -84,10 +84,9 @@ def reset_computed_guids(listings: DataFrame) -> DataFrame:
 def fill_from_entries(listings: DataFrame, entries: DataFrame) -> DataFrame:
     """listings with an empty guid filled by (mls, city, provState) from the entry table; of repeated entries the largest
     area list is taken. The number of rows stays."""
-    one = entries.groupBy("MLS", "CITY", "PROV_STATE").agg(F.max("GEOGRAPHIES").alias("__found"))
-    on = (F.col("mls") == one["MLS"]) & (F.col("city") == one["CITY"]) & (F.col("provState") == one["PROV_STATE"])
-    cols = [listings[c] for c in listings.columns if c != "guid"]
-    return listings.join(one, on, "left").select(*cols, F.coalesce(clean_guid(listings["guid"]), F.col("__found")).alias("guid"))
+    one = entries.groupBy(F.col("MLS").alias("__mls"), F.col("CITY").alias("__city"), F.col("PROV_STATE").alias("__prov")).agg(F.max("GEOGRAPHIES").alias("__found"))
+    on = (F.col("mls") == F.col("__mls")) & (F.col("city") == F.col("__city")) & (F.col("provState") == F.col("__prov"))
+    return listings.join(one, on, "left").withColumn("guid", F.coalesce(clean_guid("guid"), F.col("__found"))).drop("__mls", "__city", "__prov", "__found")
 
 
 def children(geo: DataFrame) -> DataFrame:

@@ -509,7 +509,7 @@ TRIPLES = [
     ("16-unit", "x", "y", "COMMERCIAL"), ("Mobile", None, None, "MOBILE_MINI"), ("Single Family", "House", "Park Model", "MOBILE_MINI"), ("Duplex", "House", "N/R", "OTHER"), ("House", "12-plex", "x", "OTHER"),
     ("Multi-Family", "x", "y", "OTHER"), ("Lots/Acreage", "x", "y", "LAND_VACANT"), ("House", "Office", "y", "COMMERCIAL"), ("Att/Row/Twnhouse", "x", "y", "TOWNHOUSE"), ("Condo Apt", "x", "y", "CONDO"),
     ("Locker", "x", "y", "OTHER"), ("Commercial Sale", "x", "y", "COMMERCIAL"), ("House", "x", "Semi", "SEMI-DETACHED"), ("House", "x", "Stacked", "TOWNHOUSE"), ("House", "x", "Floating", "OTHER"),
-    ("House", "Semi Detached", "x", "SEMI-DETACHED"), ("Residential", "Detached", "Bungalow", "TOWNHOUSE"), ("House", "Apartment", "x", "CONDO"), ("Single Family", "Bungalow", "2-Storey", "DETACHED"), ("Residential", "Store", "Studio", "CONDO"),
+    ("House", "Semi Detached", "x", "SEMI-DETACHED"), ("Residential", "Detached", "Bungalow", "DETACHED"), ("House", "Apartment", "x", "CONDO"), ("Single Family", "Bungalow", "2-Storey", "DETACHED"), ("Residential", "Store", "Studio", "CONDO"),
     ("Residential", "Recreational", "Float Home", "UNCLEAR"), ("Residential", "Recreational", "A-Frame", "DETACHED"), ("Residential", "n/r", "N/R", "OTHER"), ("Residential", "See Remarks", "Villa", "UNCLEAR"), ("Resort Property", "x", "Loft", "DETACHED"),
     ("Farm", "x", "y", "OTHER"), ("24", "x", "y", "OTHER"), ("six", "x", "y", "OTHER"), ("N/R", "x", "y", "OTHER"), ("Zzz", "x", "y", "UNCLEAR"), (None, None, None, "UNCLEAR"), ("Residential", "n/r", "End Unit", "TOWNHOUSE"),
 ]
