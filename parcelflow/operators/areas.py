@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.expressions import clean_guid, geo_level
-from ..functions.polygons import bounding_box, contains_point
+from ..functions.polygons import bounding_box, contains_point, covered_share
 
 #: Areas of a catalogue that may be broadcast; beyond, the same joins shuffle.
 MOST_BROADCAST_AREAS = 200_000
@@ -127,6 +127,37 @@ def overlapping(geo: DataFrame, cell: float = 0.25) -> DataFrame:
     return found.union(found.select("other_id", "geog_id"))
 
 
+#: Levels that can be a parent, the nearest first.
+PARENT_LEVELS = (20, 30, 35, 40)
+
+
+def find_parents(geo: DataFrame, least_share: float = 0.99, cell: float = 0.25) -> DataFrame:
+    """(geog_id, parent_id) for areas without a parent: on the lowest higher level that has one, the area that the
+    level_<n>_en column names, else the first by id that holds nearly all of the polygon. Areas without either are absent.
+
+    Names are an equi-join. Polygons meet in the cell of the child's first corner or its neighbours, where a parent that
+    holds the child must have its box, so only a few candidates come to the exact area."""
+    need = geo.where(F.col("parent_id").isNull()) if "parent_id" in geo.columns else geo
+    above = geo.where(F.col("level").isin(*PARENT_LEVELS))
+    named = None
+    for n in PARENT_LEVELS:
+        if f"level_{n}_en" in geo.columns:
+            child = need.where(F.col("level") < n).select("geog_id", F.col(f"level_{n}_en").alias("name"))
+            hit = child.join(above.where(F.col("level") == n).select(F.col("geog_id").alias("parent_id"), "name"), "name").select("geog_id", F.lit(n).alias("at"), F.lit(0).alias("how"), "parent_id")
+            named = hit if named is None else named.union(hit)
+
+    at = lambda c: F.floor(c / cell).cast("int")
+    corner = F.element_at(F.element_at("rings", 1), 1)
+    child = need.where(F.size("rings") > 0).select("geog_id", F.col("level").alias("own"), "rings", at(corner["lat"]).alias("cy"), at(corner["lng"]).alias("cx"))
+    outer = above.where(F.size("rings") > 0).select(F.col("geog_id").alias("parent_id"), F.col("level").alias("at"), F.col("rings").alias("outer"), bounding_box(F.col("rings")).alias("box"))
+    spread = lambda low, high: F.explode(F.sequence(at(F.col(low)) - 1, at(F.col(high)) + 1))
+    outer = outer.withColumn("cy", spread("box.south", "box.north")).withColumn("cx", spread("box.west", "box.east")).drop("box")
+    held = child.join(outer, ["cy", "cx"]).where(F.col("at") > F.col("own")).withColumn("share", covered_share("rings", "outer"))
+    found = held.where(F.col("share") >= least_share).select("geog_id", "at", F.lit(1).alias("how"), "parent_id")
+    found = found if named is None else found.union(named)
+    return found.groupBy("geog_id").agg(F.min(F.struct("at", "how", "parent_id"))["parent_id"].alias("parent_id"))
+
+
 def best_entry_by_city(entries: DataFrame) -> DataFrame:
     """(CITY, PROV_STATE, GEOGRAPHIES): the entry with most area ids of each city; of equal ones the first by text."""
     n = F.size(F.split("GEOGRAPHIES", ","))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.polygons import geojson_feature
+from ..functions.polygons import geojson_feature, random_point
 from ..schemas import ALL_TYPES
 from .areas import ancestors
 
@@ -42,6 +42,22 @@ def search_areas(geo: DataFrame, text: str, level: int | None = None) -> DataFra
     return (rows.where(F.col("level") == level) if level is not None else rows).orderBy("name")
 
 
+def sample_area(geo: DataFrame, seed: int = 0) -> DataFrame:
+    """One area at random."""
+    return geo.orderBy(F.xxhash64(F.lit(seed), "geog_id"), "geog_id").limit(1)
+
+
+def sample_points(geo: DataFrame, seed: int = 0) -> DataFrame:
+    """(geog_id, lat, lng): a random point of each area with a polygon."""
+    rows = geo.where(F.size("rings") > 0).select("geog_id", random_point(F.col("geog_id"), F.col("rings"), seed).alias("p"))
+    return rows.select("geog_id", "p.lat", "p.lng")
+
+
+def review_batch(mapping: DataFrame, number: int, size: int = 50) -> DataFrame:
+    """One batch, from 0, of the property-type triples in alphabetical order."""
+    return mapping.orderBy("Type", "SubType", "Style").offset(number * size).limit(size)
+
+
 def area_path(geo: DataFrame, geog_id: str) -> DataFrame:
     """Ancestors of one area, from the root down."""
     up = ancestors(geo).where(F.col("geog_id") == geog_id).select("ancestor_id", "depth")

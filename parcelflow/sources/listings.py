@@ -85,9 +85,10 @@ def ims_sold_listings(raw: DataFrame, table: DataFrame, start: dt.datetime | Non
         rows = rows.where(F.col("WrittenDate") <= time_literal(end))
     rows = mapping.duplex_override(mapping.lookup(rows, table))
     key = F.concat_ws("-", F.lower("Province"), F.col("MLSID").cast("string"), F.lower("MLSNumber"))
-    rows = rows.withColumns({"_id": key, "listingStatus": F.lit("SOLD"), "beds": F.col("Bedrooms").cast("string"), "baths": F.col("Baths").cast("string"), "guid": F.lit(None).cast("string")})
+    rows = rows.withColumns({"_id": key, "listingStatus": F.lit("SOLD"), "guid": F.lit(None).cast("string")})
     rows = rows.withColumnsRenamed(IMS_NAMES).withColumn("daysOnMarket", F.col("daysOnMarket").cast("double"))
-    return rows.select("_id", "mls", "lastTransition", "listingStatus", "beds", "bedsInt", "baths", "bathsInt", "price", "soldPrice", "daysOnMarket", "lat", "lng", "city", "neighbourhood", "provState", "guid", "propertyType")
+    beds, baths = F.col("bedsInt").cast("string").alias("beds"), F.col("bathsInt").cast("string").alias("baths")
+    return rows.select("_id", "mls", "lastTransition", "listingStatus", beds, "bedsInt", baths, "bathsInt", "price", "soldPrice", "daysOnMarket", "lat", "lng", "city", "neighbourhood", "provState", "guid", "propertyType")
 
 
 TABLES = {"sold": SOLD_LISTING, "active": ACTIVE_LISTING, "deleted": DELETED_LISTING, "ims": IMS_RAW}
