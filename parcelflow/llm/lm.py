@@ -26,7 +26,7 @@ from .common import fold, id_text, shared_table
 from .textbytes import NOT_SPACE, U64, buffers, mix, slices, words
 
 #: Text of a chunk, and keys that a bucket of counts expects.
-CHUNK_BYTES, BUCKET_KEYS = 10 << 20, 1_000_000
+CHUNK_BYTES, BUCKET_KEYS = 6 << 20, 700_000
 END = U64(0x5851F42D4C957F2D)
 START = U64(0x14057B7EF767814F)
 ROUNDS = 40
