@@ -10,7 +10,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Text handled at once; a longer document is handled alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _all = np.arange(256)
 LOWER = np.where((_all >= 65) & (_all <= 90), _all + 32, _all).astype(np.uint8)
