@@ -118,7 +118,7 @@ def sketch(docs: DataFrame, threshold: float, size: int = SHINGLE) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mul, add = _MUL[:hashes, None], _ADD[:hashes, None]
         place = np.arange(bands, dtype=U64) * U64(0xD6E8FEB86659FD93)
-        for batch in batches:
+        for batch in (b.slice(i, 1024) for b in batches for i in range(0, b.num_rows, 1024)):
             n, k1, k2, low = [], [], [], np.full((batch.num_rows, hashes), 0xFFFFFFFF, np.uint32)
             for d, key in enumerate(shingle_sets(batch.column(1), size)):
                 n.append(len(key))
@@ -254,7 +254,7 @@ def near_components(docs: DataFrame, percent: int = 80, size: int = SHINGLE) ->
     threshold = percent / 100
     made = shared_table(sketch(docs, threshold, size), "sketch")
     usable = made.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = usable.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("class_id"))
+    classes = shared_table(usable.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("class_id")), "sets")
     reps = shared_table(usable.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "signature", "bands"), "classes")
 
     w = W.partitionBy("key")
@@ -275,8 +275,9 @@ def near_components(docs: DataFrame, percent: int = 80, size: int = SHINGLE) ->
     if more.take(1):
         found = connected_components(links.union(more))
 
-    of_class = found.toDF("class_id", "component")
-    out = made.select("doc_id", "n_shingles", "k1", "k2").join(classes, ["k1", "k2", "n_shingles"], "left").join(of_class, "class_id", "left")
+    # a class has one row here, so the join that meets every copy is the last one and can split a large class
+    of_class = shared_table(classes.join(found.toDF("class_id", "component"), "class_id", "left"), "resolved")
+    out = made.select("doc_id", "n_shingles", "k1", "k2").join(of_class, ["k1", "k2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "class_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "class_id")
 
