@@ -108,7 +108,7 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _batches(batch: pa.RecordBatch, length: int, gram: int) -> Iterator[tuple]:
     """(documents of the batch, data, anchors) in slices."""
     data, offsets = buffers(batch.column("text"))
-    for i, j in slices(offsets, 8 << 20):
+    for i, j in slices(offsets, 2 << 20):
         part = data[offsets[i] : offsets[j]]
         yield i, part, anchors(part, offsets[i : j + 1] - offsets[i], length, gram)
 
