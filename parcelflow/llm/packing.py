@@ -24,7 +24,7 @@ from .common import id_text, shared_table
 SIZE = 1024
 END_ID = 2
 #: Pieces of one length that a single task ranks.
-RANKED_TOGETHER = 4000
+RANKED_TOGETHER = 1000
 
 
 @functools.cache
