@@ -16,6 +16,19 @@ from pyspark.sql import types as T
 
 #: Bits of a key filter: 8 MB, whatever the input.
 FILTER_BITS = 1 << 26
+#: Most rows and bytes that Spark hands a Python worker at once.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """df; its session's Arrow batches are made no larger than these bounds, so that a worker's memory does not follow the
+    size of texts. Every operator calls this; smaller settings stay."""
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = conf.get(key, None)
+        if now is None or not now.isdecimal() or not 0 < int(now) <= most:
+            conf.set(key, str(most))
+    return df
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,7 +45,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def shared_table(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it again: the lineage ends there and a lost executor loses nothing."""
-    spark = df.sparkSession
+    spark = bounded_batches(df).sparkSession
     path = f"{shared_dir(spark)}/parcelflow/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -44,7 +57,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id long, text string, null text as empty): nothing else is read, so other columns cannot clash."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
 def fold(id_col: str, parts: int):
@@ -91,7 +104,7 @@ def key_filter(keys: DataFrame):
 def maybe_in(df: DataFrame, col: str, keys: DataFrame, name: str = "maybe") -> DataFrame:
     """df with a boolean column: false where col is surely not in keys."""
     test = key_filter(keys)
-    at = df.columns.index(col)
+    at, df = df.columns.index(col), bounded_batches(df)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold
+from .common import bounded_batches, fold
 from .textbytes import buffers
 
 #: The sample: at most TRAIN_DOCUMENTS labelled documents (by a hash of the id), WINDOWS windows of each.
@@ -180,7 +180,7 @@ def train_network(docs: DataFrame, parts: int = 5, held: int = 0, documents: int
 def _predicted(docs: DataFrame, parts: int, held: int) -> DataFrame:
     """docs with __lang and __score, in one pass over the rows as they stand: nothing is shuffled."""
     langs, net = train_network(docs.select("doc_id", "text", "lang"), parts, held)
-    letters = docs.withColumn("__text", F.when(F.col("text").rlike(r"\p{L}"), F.col("text")).otherwise(""))
+    letters = bounded_batches(docs).withColumn("__text", F.when(F.col("text").rlike(r"\p{L}"), F.col("text")).otherwise(""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

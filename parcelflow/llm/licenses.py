@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_table
+from .common import bounded_batches, shared_table
 from .textbytes import ALNUM, U64, buffers, key_of, slices, words
 
 BLOCK = 80
@@ -127,7 +127,7 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
     if any(len(t.split()) > block // 2 for _, t in templates):
         raise ValueError(f"a template has more than {block // 2} words")
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("doc_id").cast("long"), text).alias("row"), text.alias("text"))
+    rows = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("doc_id").cast("long"), text).alias("row"), text.alias("text"))
     vocabulary = sorted({w for _, t in templates for w in t.split()})
     n = _word_counts(rows, vocabulary)
     ranked = sorted(vocabulary, key=lambda w: (n[w], w))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import maybe_in, shared_table
+from .common import bounded_batches, maybe_in, shared_table
 from .suffixes import common_prefixes, suffix_array
 from .textbytes import BYTE_KEYS, U64, buffers, mix, slices
 
@@ -102,7 +102,7 @@ def _context_keys(data: np.ndarray, at: np.ndarray, windows: np.ndarray, place:
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, row: a hash of id and text that tells rows apart where ids are null or repeated, text)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col).cast("long"), text).alias("row"), text.alias("text"))
+    return bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col).cast("long"), text).alias("row"), text.alias("text"))
 
 
 def _batches(batch: pa.RecordBatch, length: int, gram: int) -> Iterator[tuple]:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold
+from .common import bounded_batches, fold
 from .textbytes import ALNUM, U64, buffers, key_of, slices, words
 
 #: The sample: at most so many labelled documents (by a hash of the id) teach the lexicon and the weights.
@@ -221,7 +221,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int
     toxic if any is. Without labels, or with labels of one kind, fixed weights are used. Only doc_id and text of docs,
     and doc_id and toxic of labels, are read.
     """
-    matcher, weights = train(docs, labels, parts, held)
+    matcher, weights = train(bounded_batches(docs), labels, parts, held)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold("doc_id", parts) == held).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
