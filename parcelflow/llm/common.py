@@ -43,8 +43,14 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
-def shared_table(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it again: the lineage ends there and a lost executor loses nothing."""
+def shared_table(df: DataFrame, name: str, most_rows: int | None = None, rows_a_file: int = 100_000) -> DataFrame:
+    """Write df to the shared folder and read it again: the lineage ends there and a lost executor loses nothing.
+
+    With a known bound on its rows, a table gets no more files than that takes: many steps write little, and a small
+    file for each shuffle partition of each would weigh on the store. Large tables keep all their partitions.
+    """
+    if most_rows is not None:
+        df = df.coalesce(max(1, -(-most_rows // rows_a_file)))
     spark = bounded_batches(df).sparkSession
     path = f"{shared_dir(spark)}/parcelflow/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)

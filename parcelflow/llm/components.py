@@ -43,11 +43,13 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """(node, component): the smallest node reachable, for every node with a link to another one.
 
     Each round links all larger neighbours of a node to its smallest one, then all smaller ones; the number of rounds
-    follows the logarithm of the longest path. Links with nulls and from a node to itself are left out.
+    follows the logarithm of the longest path. A round has no more links than the one before, and links is a written
+    table, so that it is read twice but made once. Links with nulls and from a node to itself are left out.
     """
+    n = links.count()
     rows = links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a <> b")
     rows = rows.mapInArrow(_forest, "a long, b long").distinct()
-    edges = shared_table(rows.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    edges = shared_table(rows.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links", n)
     w = W.partitionBy("a")
     seen = None
     while True:
@@ -56,7 +58,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         large = both.withColumn("m", low).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = F.min("b").over(w)
         small = large.withColumn("m", least).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x"))
-        edges = shared_table(small.select("x.*").where("a > b").distinct(), "links")
+        edges = shared_table(small.select("x.*").where("a > b").distinct(), "links", n)
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
         if state == seen:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))

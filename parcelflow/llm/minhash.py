@@ -254,13 +254,14 @@ def near_components(docs: DataFrame, percent: int = 80, size: int = SHINGLE) ->
     threshold = percent / 100
     made = shared_table(sketch(docs, threshold, size), "sketch")
     usable = made.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = shared_table(usable.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("class_id")), "sets")
-    reps = shared_table(usable.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "signature", "bands"), "classes")
+    classes = usable.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("class_id"))
+    rows = made.count()
+    reps = shared_table(usable.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "signature", "bands"), "classes", rows, 10_000)
 
     w = W.partitionBy("key")
     dealt = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
     dealt = dealt.withColumns({"hub": F.min("doc_id").over(w), "n": F.count(F.lit(1)).over(w)}).where("n > 1")
-    dealt = shared_table(dealt, "buckets")
+    dealt = shared_table(dealt, "buckets", rows * band_plan(threshold)[1], 500_000)
     texts = maybe_in(id_text(docs).where(F.col("doc_id").isNotNull()), "doc_id", dealt.select("doc_id").distinct())
     texts = shared_table(texts.where("maybe").select("doc_id", "text"), "candidates")
 
@@ -273,10 +274,10 @@ def near_components(docs: DataFrame, percent: int = 80, size: int = SHINGLE) ->
     mixed = mixed.select("key", "band", "n", "doc_id", "component").join(reps, "doc_id").join(texts.withColumnRenamed("doc_id", "of"), F.col("doc_id") == F.col("of"))
     more = shared_table(across(mixed, percent, size), "verified")
     if more.take(1):
-        found = connected_components(links.union(more))
+        found = connected_components(shared_table(links.union(more), "verified", rows))
 
     # a class has one row here, so the join that meets every copy is the last one and can split a large class
-    of_class = shared_table(classes.join(found.toDF("class_id", "component"), "class_id", "left"), "resolved")
+    of_class = shared_table(classes.join(found.toDF("class_id", "component"), "class_id", "left"), "resolved", rows)
     out = made.select("doc_id", "n_shingles", "k1", "k2").join(of_class, ["k1", "k2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "class_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "class_id")
@@ -285,4 +286,4 @@ def near_components(docs: DataFrame, percent: int = 80, size: int = SHINGLE) ->
 def drop_near_copies(docs: DataFrame, percent: int = 80) -> DataFrame:
     """docs with one document, the smallest id, of each component; same columns."""
     gone = near_components(docs, percent).where(~F.col("kept")).select("doc_id")
-    return drop_ids(docs, shared_table(gone, "gone"))
+    return drop_ids(docs, shared_table(gone, "gone", docs.count()))

@@ -212,13 +212,14 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     found = shared_table(anchor_table(rows, length, gram), "anchors")
     counted = found.groupBy("key", "context").agg(F.count(F.lit(1)).alias("n"), F.max("windows").alias("windows"))
     counted = counted.withColumn("contexts", F.count(F.lit(1)).over(W.partitionBy("key")))
-    counted = shared_table(counted.where("n > 1 or contexts > 1"), "contexts")
+    rows_found = found.count()
+    counted = shared_table(counted.where("n > 1 or contexts > 1"), "contexts", rows_found)
 
     several = counted.where("contexts > 1")
-    total = several.agg(F.sum(F.col("windows").cast("long") + length)).first()[0] or 0
+    n_several, total = (x or 0 for x in several.agg(F.count(F.lit(1)), F.sum(F.col("windows").cast("long") + length)).first())
     contents = context_bytes(rows, several.select("key").distinct(), length, gram)
     contents = contents.join(several.select("key", "context", "contexts"), ["key", "context"]).dropDuplicates(["key", "context"])
-    contents = shared_table(contents.select("key", "context", "windows", "bytes", "contexts"), "contents")
+    contents = shared_table(contents.select("key", "context", "windows", "bytes", "contexts"), "contents", n_several, 10_000)
     kinds = contents.drop("contexts")
     parts = [shard_repeats(kinds.where(contents.contexts <= shard_contexts), max(1, -(-total // shard_bytes)), length)]
     if several.where(F.col("contexts") > shard_contexts).take(1):
@@ -226,7 +227,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     runs = parts[0] if len(parts) == 1 else parts[0].union(parts[1])
     whole = counted.where("n > 1").select("key", "context", F.lit(0).alias("low"), (F.col("windows") - 1).alias("high"))
     single = counted.where("n = 1").select("key", "context")
-    runs = shared_table(runs.join(single, ["key", "context"], "left_semi").union(whole), "runs")
+    runs = shared_table(runs.join(single, ["key", "context"], "left_semi").union(whole), "runs", rows_found)
 
     near = maybe_in(found, "context", runs.select("context").distinct()).where("maybe").drop("maybe")
     spans = near.join(runs, ["key", "context"])
