@@ -34,7 +34,7 @@ LENGTH = 400
 GRAM = 32
 #: Contexts of one minimiser that may stand in one shard, the bytes of a shard (its arrays take some 60 times as much),
 #: and shards that a task sorts one after another.
-SHARD_CONTEXTS, SHARD_BYTES, SHARDS_A_TASK = 4000, 5 << 19, 6
+SHARD_CONTEXTS, SHARD_BYTES, SHARDS_A_TASK = 4000, 5 << 18, 12
 #: Stands between contexts in a shard; no UTF-8 text holds it.
 WALL = 255
 _STEPS = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
@@ -254,15 +254,14 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*kept, text[at:]])
 
 
-def _with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str, cols: list[str]) -> DataFrame:
-    """docs' columns `cols` with `row` and `spans`; only rows that may have spans are shuffled."""
+def _with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str, cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """docs' columns `cols`: rows that may have spans, with them as __spans, and all others. Only the former are shuffled."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(*cols, F.xxhash64(F.col(id_col).cast("long"), text).alias("__row"))
     marked = maybe_in(rows, "__row", spans.select("row"), "__maybe")
     right = spans.select(F.col("doc_id").alias("__id"), F.col("row").alias("__row_of"), F.col("spans").alias("__spans"))
     on = (F.col("__row") == F.col("__row_of")) & F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
-    touched = marked.where("__maybe").join(right, on, "left")
-    return touched.select(*cols, "__spans").union(marked.where("not __maybe").select(*cols, F.lit(None).cast(right.schema["__spans"].dataType)))
+    return marked.where("__maybe").join(right, on, "left").select(*cols, "__spans"), marked.where("not __maybe").select(*cols)
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, **bounds) -> DataFrame:
@@ -287,8 +286,11 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 digest.append(hashlib.sha256(kept).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in (n, removed, number)), pa.array(digest, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    rows = _with_spans(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), spans, "doc_id", "text", ["doc_id", "text"])
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    touched, whole = _with_spans(rows, spans, "doc_id", "text", ["doc_id", "text"])
+    text, none = F.coalesce("text", F.lit("")), F.lit(0).cast("long")
+    whole = whole.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), F.sha2(text, 256).alias("kept_sha256"))
+    return touched.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").union(whole)
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
@@ -306,4 +308,5 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             cols[at] = pa.array(texts, cols[at].type)
             yield pa.RecordBatch.from_arrays(cols, batch.schema.names[:-1])
 
-    return _with_spans(docs, spans, id_col, text_col, docs.columns).mapInArrow(run, docs.schema)
+    touched, whole = _with_spans(docs, spans, id_col, text_col, docs.columns)
+    return touched.mapInArrow(run, docs.schema).union(whole)
