@@ -113,3 +113,46 @@ def test_alignment_equals_brute_force_and_finds_excerpts(spark):
 
 def test_empty(spark):
     assert align_recordings(fingerprint_media(spark.createDataFrame([], "media_id long, content binary"))).count() == 0
+
+
+def every_pair(prints):
+    """Each recording against each earlier one at each offset."""
+    own = {}
+    for p in prints:
+        own[p["media_id"]] = np.array(p["items"], np.int32).view(np.uint32)
+    out = {}
+    for k, x in own.items():
+        ok = []
+        for o, y in own.items():
+            for offset in range(-len(x), len(y)) if o < k else ():
+                votes = sum(0 <= i + offset and i + offset + RUN <= len(y) and np.array_equal(x[i : i + RUN], y[i + offset : i + offset + RUN]) for i in range(len(x) - RUN + 1))
+                error, n = bit_error(y, x, offset)
+                if votes and error <= MOST_ERROR:
+                    ok.append((votes, -o, -offset, n, error))
+        out[k] = max(ok, default=None)
+    return out
+
+
+def printed(spark, items):
+    import hashlib
+
+    rows = [(k, len(v) * 128, len(v), np.array(v, np.uint32).view(np.int32).tolist(), hashlib.sha256(np.array(v, "<u4").tobytes()).hexdigest()) for k, v in items.items()]
+    return spark.createDataFrame(rows, "media_id long, n_samples long, n_items long, items array<int>, fingerprint_sha256 string")
+
+
+def test_every_holder_of_a_run_is_compared(spark):
+    rng = np.random.default_rng(5)
+    s, x, y, z, u = (rng.integers(0, 1 << 32, n).tolist() for n in (20, 12, 12, 20, 20))
+    hush = [7] * 9
+    near = [v ^ 1 if i % 5 == 0 else v for i, v in enumerate(s)]
+    # many votes where the bits differ, fewer where they agree
+    apart = s[:8] + [v ^ 0xFFFFFFFF for v in s[:8]] + z
+    items = {1: s[:12] + x, 2: y + s[8:], 3: hush + z, 4: hush + u, 5: hush + z[:10] + hush, 8: s, 9: s, 10: near, 11: near, 12: apart, 13: apart[8:16] + apart[:2] + u, 14: [7], 15: [7], 16: hush[:5], 17: hush[:5], 18: u + hush + s}
+    prints = printed(spark, items)
+    want = every_pair(prints.collect())
+    for block in (1 << 16, 64):
+        for r in align_recordings(prints, block=block).collect():
+            got = None if r["match_id"] is None else (r["votes"], -r["match_id"], -r["offset"], r["compared"], r["bit_error"])
+            assert got == want[r["media_id"]], (block, r, want[r["media_id"]])
+            if r["media_id"] == 9:
+                assert (r["match_id"], r["offset"], r["bit_error"]) == (8, 0, 0)
