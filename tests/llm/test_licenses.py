@@ -48,3 +48,32 @@ def test_equals_brute_force(spark):
 
 def test_empty(spark):
     assert scan_licenses(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_deciding_words(spark):
+    """Notices that differ in one word, alone, spelled apart, and together in one block."""
+    long = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+    want = {
+        long.format(""): "cc-by",
+        long.format("-NonCommercial"): "cc-by-nc",
+        long.format("-ShareAlike"): "cc-by-sa",
+        long.format("-NonCommercial-ShareAlike"): "cc-by-nc-sa",
+        long.format("-Non-Commercial"): "cc-by-nc",
+        long.format(" Share Alike"): "cc-by-sa",
+        long.format(" Non-Commercial Share Alike"): "cc-by-nc-sa",
+        long.format("-NoDerivatives"): "",
+        "Licensed under CC BY 4.0.": "cc-by",
+        "Licensed under CC BY-NC 4.0.": "cc-by-nc",
+        "Licensed under CC BY-SA 4.0.": "cc-by-sa",
+        "Licensed under CC BY-NC-SA 4.0.": "cc-by-nc-sa",
+        "Licensed under the GNU Lesser General Public License": "gpl,lgpl",
+        "Licensed under the GNU Affero General Public License": "agpl,gpl",
+        "Licensed under the GNU General Public License": "gpl",
+        long.format("") + " " + long.format("-NonCommercial"): "cc-by,cc-by-nc",
+        long.format("-ShareAlike") + " x" * 100 + " " + long.format("-NonCommercial-ShareAlike"): "cc-by-nc-sa,cc-by-sa",
+        # the deciding word stands far from the notice, or in the next document
+        long.format("-NoDerivatives") + " x" * 100 + " noncommercial": "",
+    }
+    rows = [(k, t) for k, t in enumerate(want)]
+    got = {r["doc_id"]: r["labels"] for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    assert [(t, got[k]) for k, t in rows] == list(want.items())
