@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import below_ask, geo_level, month_key, over_ask, percent_true
 from ..schemas import ALL_TYPES, STANDARD_TYPES
+from .areas import small
 
 SOLD_METRICS = ["median_sold_price", "median_dom", "over_ask_percentage", "below_ask_percentage", "sold_listing_count"]
 
@@ -61,12 +62,12 @@ def sold_counts(exploded: DataFrame) -> DataFrame:
 def dense(counts: DataFrame, value: str, months: DataFrame | None = None) -> DataFrame:
     """Every (geog_id, propertyType) with every month of the table, missing ones as 0; repeated cells are averaged.
 
-    The cross product is with the months, a few hundred rows at most, which are broadcast.
+    The product with the months is the result's own rows; months, a few hundred as a rule, are broadcast if they are few.
     """
     months = counts.select("month").distinct() if months is None else months
     keys = counts.select("geog_id", "propertyType").distinct()
     cells = counts.groupBy("geog_id", "propertyType", "month").agg(F.avg(value).alias(value))
-    grid = keys.withColumn("month", F.explode(F.lit([r[0] for r in months.orderBy("month").limit(1200).collect()]).cast("array<string>")))
+    grid = keys.crossJoin(small(months.select("month")))
     return grid.join(cells, ["geog_id", "propertyType", "month"], "left").withColumn(value, F.coalesce(value, F.lit(0.0)))
 
 

@@ -63,6 +63,15 @@ def test_inventory_leaves_out_untyped_rows(spark):
 TRACKED = "_id string, guid string, propertyType string, price double, addedOn timestamp_ntz, lastUpdate timestamp_ntz, is_deleted boolean"
 
 
+def test_dense_keeps_every_month(spark):
+    months = [f"{y:04d}-{m:02d}" for y in range(1900, 2030) for m in range(1, 13)]
+    rows = [("g30_n1", "CONDO", m, 1) for m in months] + [("g40_r1", "ALL", "2029-12", 4), ("g40_r1", "ALL", "2029-12", 6), ("g40_r1", "ALL", None, 1)]
+    out = metrics.dense(spark.createDataFrame(rows, "geog_id string, propertyType string, month string, n long"), "n").collect()
+    assert len(out) == 2 * (len(months) + 1) and {r["month"] for r in out} == {*months, None}
+    got = {(r["geog_id"], r["month"]): r["n"] for r in out}
+    assert got["g30_n1", "2029-12"] == 1 and got["g40_r1", "2029-12"] == 5 and got["g40_r1", "1900-01"] == 0
+
+
 def test_order_of_filter_and_latest(spark):
     rows = [("1", "g10_a", "CONDO", 100.0, at(2024, 6, 3), at(2024, 6, 3), False), ("1", "g10_a", "CONDO", 300.0, at(2024, 6, 3), at(2024, 6, 9), True), ("2", "g10_a", "CONDO", 500.0, at(2024, 5, 3), None, None)]
     df = spark.createDataFrame(rows, TRACKED)
