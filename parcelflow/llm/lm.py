@@ -8,7 +8,7 @@ Counting covers every word and bigram of the corpus and keeps none of it in one
 a chunk sends its distinct bigrams and words, sorted and packed, to buckets by hash range, and a bucket answers each
 chunk with the totals in the order asked. So a bigram costs a few bytes a chunk, a frequent one no more than a rare one.
 Bigrams are known by log2(tokens) + 16 bits of a hash: another one has the same with a probability of 1 in 65,536 at
-any size of corpus.
+any size of corpus. Words, which are few beside them, are known by their whole 64-bit keys.
 """
 
 from __future__ import annotations
@@ -105,8 +105,8 @@ class Chunk:
         self.from_training = np.repeat(self.learned, self.sizes)
         key = np.append(self.vocabulary, START)
         shift = U64(64 - bits)
-        self.words_cut = mix(self.vocabulary) >> shift
-        self.words_order = np.argsort(self.words_cut, kind="stable")
+        self.words_mixed = mix(self.vocabulary)  # none falls together
+        self.words_order = np.argsort(self.words_mixed, kind="stable")
         self.pairs, self.pair = np.unique(mix(key[self.context] * U64(0x9E3779B97F4A7C15) + key[self.word]) >> shift, return_inverse=True)
 
     def counts(self) -> tuple[np.ndarray, np.ndarray]:
@@ -123,8 +123,8 @@ def requests(chunks: DataFrame, bits: int, buckets: int) -> DataFrame:
             for row in batch.to_pylist():
                 chunk = Chunk(row, bits)
                 n_words, n_pairs = chunk.counts()
-                for kind, keys, n in ((WORD, chunk.words_cut[chunk.words_order], n_words[chunk.words_order]), (PAIR, chunk.pairs, n_pairs)):
-                    bucket = ((keys >> U64(bits - 20)) * U64(buckets)) >> U64(20)
+                for kind, size, keys, n in ((WORD, 64, chunk.words_mixed[chunk.words_order], n_words[chunk.words_order]), (PAIR, bits, chunk.pairs, n_pairs)):
+                    bucket = ((keys >> U64(size - 20)) * U64(buckets)) >> U64(20)
                     cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=U64))
                     for b in np.flatnonzero(np.diff(cuts)).tolist():
                         a, z = cuts[b], cuts[b + 1]

@@ -69,3 +69,21 @@ def test_empty(spark):
     assert score_documents(spark.createDataFrame([], SCHEMA)).count() == 0
     only = spark.createDataFrame([(1, None, *[None] * 7), (2, "a b", *[None] * 7)], SCHEMA)
     assert score_documents(only, parts=1, held=0).count() == 2
+
+
+def test_words_whose_mixed_keys_begin_alike_stay_apart(spark):
+    from parcelflow.llm.textbytes import NOT_SPACE, U64, buffers, mix, words
+    import pyarrow as pa
+
+    names = [f"w{i}" for i in range(400_000)]
+    data, offsets = buffers(pa.array([" ".join(names)]))
+    top = mix(words(data, offsets, NOT_SPACE).key) >> U64(32)
+    order = np.argsort(top, kind="stable")
+    at = int(np.flatnonzero(np.diff(top[order]) == 0)[0])
+    one, other = names[order[at]], names[order[at + 1]]
+    out = [i for i in range(1, 100) if zlib.crc32(str(i).encode()) % 7 == 2][0]
+    learned = [i for i in range(1, 100) if zlib.crc32(str(i).encode()) % 7 != 2][0]
+    rows = [(learned, f"{one} a b", *[None] * 7), (out, f"{other} a", *[None] * 7)]
+    got = {r["doc_id"]: r for r in score_documents(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[out]["n_known"] == 2 and got[learned]["n_known"] == 4
+    assert sorted(repr((str(r[0]), *r[1:5], round(r[5], 6), round(r[6], 3))) for r in got.values()) == brute(rows)
