@@ -2,8 +2,9 @@
 
 Suffixes are classified as larger (L) or smaller (S) than the next one. The leftmost of each run of S suffixes (LMS) are
 sorted first: their substrings are sorted by one induction, named, and the shorter text of names is sorted in the same
-way. A second induction then places all others. Induction goes through the buckets of first symbols in order; what one
-bucket induces is placed with a few whole-array operations, so the work is linear in the text.
+way, or by prefix doubling if it has more than MOST_BUCKETS names, as nearly all shards have. A second induction then
+places all others. Induction goes through the buckets of first symbols in order; what one bucket induces is placed with
+a few whole-array operations, so its work is linear in the text; that of doubling is not.
 """
 
 from __future__ import annotations
