@@ -10,12 +10,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Bits of a key filter: 8 MB, whatever the input.
-FILTER_BITS = 1 << 26
+#: Bits of a key filter for each key, and at most: 8 MB, whatever the input. A filter that would be too full to tell
+#: anything is not made.
+KEY_BITS, MOST_FILTER_BITS, FULL_BITS = 12, 1 << 26, 4
 #: Most rows and bytes that Spark hands a Python worker at once.
 BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 
@@ -43,6 +44,15 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+_RUN = uuid.uuid4().hex
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Remove every table that this process has written between steps. Results not yet written read them: call it last."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/parcelflow/{_RUN}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shared_table(df: DataFrame, name: str, most_rows: int | None = None, rows_a_file: int = 100_000) -> DataFrame:
     """Write df to the shared folder and read it again: the lineage ends there and a lost executor loses nothing.
 
@@ -52,7 +62,7 @@ def shared_table(df: DataFrame, name: str, most_rows: int | None = None, rows_a_
     if most_rows is not None:
         df = df.coalesce(max(1, -(-most_rows // rows_a_file)))
     spark = bounded_batches(df).sparkSession
-    path = f"{shared_dir(spark)}/parcelflow/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/parcelflow/{_RUN}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -71,45 +81,70 @@ def fold(id_col: str, parts: int):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % parts
 
 
-def _filter_places(keys: np.ndarray) -> list[np.ndarray]:
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted column names, with as many underscores before them as it takes to clash with none of df's."""
+    held = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in held:
+            name = "_" + name
+        held.add(name.lower())
+        out.append(name)
+    return out
+
+
+def row_hash(id_col: str, text_col: str) -> Column:
+    """Tells rows of one id with different texts apart; null text counts as empty."""
+    return F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")))
+
+
+def _filter_places(keys: np.ndarray, bits: int) -> list[np.ndarray]:
     x = keys.astype(np.int64).view(np.uint64)
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return [(x >> np.uint64(s)) & np.uint64(FILTER_BITS - 1) for s in (0, 19, 38)]
+    step = (x >> np.uint64(32)) | np.uint64(1)
+    return [(x + np.uint64(k) * step) & np.uint64(bits - 1) for k in range(3)]
 
 
-def key_filter(keys: DataFrame):
-    """A broadcast Bloom filter of the long column of keys, and its test: a function from numpy keys to booleans.
+def key_filter(keys: DataFrame, n: int | None = None):
+    """A broadcast Bloom filter of the long column of keys, and its test: a function from numpy keys to booleans. None if
+    there are too many keys for a filter of bounded size. n: how many keys there are at most, if that is known.
 
-    It has a fixed size. It is true for every key of the table and for few others, so that what a join would drop
-    anyway need not be shuffled first; the join still follows.
+    It is true for every key of the table and for few others, so that what a join would drop anyway need not be shuffled
+    first; the join still follows.
     """
     spark, col = keys.sparkSession, keys.columns[0]
+    n = keys.count() if n is None else n
+    if n * FULL_BITS > MOST_FILTER_BITS:
+        return None
+    size = min(MOST_FILTER_BITS, 1 << max(16, (n * KEY_BITS).bit_length()))
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.unique(np.concatenate(_filter_places(batch.column(0).to_numpy(zero_copy_only=False))))
+            at = np.unique(np.concatenate(_filter_places(batch.column(0).to_numpy(zero_copy_only=False), size)))
             yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))], ["word", "bits"])
 
     found = keys.select(col).where(F.col(col).isNotNull()).mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    found = found.toArrow()  # at most FILTER_BITS / 64 rows
-    table = np.zeros(FILTER_BITS // 64, np.uint64)
+    found = found.toArrow()  # at most MOST_FILTER_BITS / 64 rows
+    table = np.zeros(size // 64, np.uint64)
     if found.num_rows:
         table[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
     shared = spark.sparkContext.broadcast(table)
 
     def test(keys: np.ndarray) -> np.ndarray:
         ok, table = np.ones(len(keys), bool), shared.value
-        for at in _filter_places(keys):
+        for at in _filter_places(keys, size):
             ok &= (table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
         return ok
 
     return test
 
 
-def maybe_in(df: DataFrame, col: str, keys: DataFrame, name: str = "maybe") -> DataFrame:
+def maybe_in(df: DataFrame, col: str, keys: DataFrame, name: str = "maybe", n: int | None = None) -> DataFrame:
     """df with a boolean column: false where col is surely not in keys."""
-    test = key_filter(keys)
+    test = key_filter(keys, n)
+    if test is None:
+        return df.withColumn(name, F.lit(True))
     at, df = df.columns.index(col), bounded_batches(df)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,10 +155,13 @@ def maybe_in(df: DataFrame, col: str, keys: DataFrame, name: str = "maybe") -> D
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.BooleanType())]))
 
 
-def drop_ids(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """docs without the rows whose id is in the one column of gone. Only rows that the filter cannot clear are shuffled."""
-    gone = gone.toDF("__gone").distinct()
-    keyed = docs.withColumn("__key", F.col(id_col).cast("long"))
-    marked = maybe_in(keyed, "__key", gone, "__maybe")
-    left = marked.where("__maybe").join(gone, F.col("__key") == F.col("__gone"), "left_anti")
-    return marked.where("not __maybe").select(*docs.columns).union(left.select(*docs.columns))
+def drop_rows(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without the rows of gone(doc_id, row), row being row_hash(). Only rows that the filter cannot clear are
+    shuffled. docs may have columns of any name."""
+    key, row, maybe, gone_id, gone_row = free_names(docs, "key", "row", "maybe", "gone_id", "gone_row")
+    gone = gone.select(F.col("doc_id").alias(gone_id), F.col("row").alias(gone_row)).distinct()
+    keyed = docs.withColumns({key: F.col(id_col).cast("long"), row: row_hash(id_col, text_col)})
+    marked = maybe_in(keyed, row, gone.select(gone_row), maybe)
+    left = marked.where(F.col(maybe)).join(gone, (F.col(row) == F.col(gone_row)) & F.col(key).eqNullSafe(F.col(gone_id)), "left_anti")
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    return marked.where(~F.col(maybe)).select(*cols).union(left.select(*cols))

@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import shared_table
@@ -50,14 +49,16 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     rows = links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a <> b")
     rows = rows.mapInArrow(_forest, "a long, b long").distinct()
     edges = shared_table(rows.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links", n)
-    w = W.partitionBy("a")
     seen = None
+
+    def with_least(rows: DataFrame) -> DataFrame:
+        """rows (a, b) with m, the least b of each a. Joined back rather than windowed, so that a large a can be split."""
+        return rows.join(rows.groupBy("a").agg(F.min("b").alias("m")), "a")
+
     while True:
         both = edges.union(edges.select("b", "a"))
-        low = F.least(F.col("a"), F.min("b").over(w))
-        large = both.withColumn("m", low).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = F.min("b").over(w)
-        small = large.withColumn("m", least).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x"))
+        large = with_least(both).where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
+        small = with_least(large).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x"))
         edges = shared_table(small.select("x.*").where("a > b").distinct(), "links", n)
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
         if state == seen:

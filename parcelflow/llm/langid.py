@@ -1,8 +1,12 @@
 """Language identification by a bidirectional gated recurrent network over bytes, in numpy.
 
 Training: backpropagation through time on windows of a bounded sample of labelled documents, with Adam. The loss is the
-mean cross-entropy of the label at every position. Prediction: whole texts are cut into segments, the network labels
-every position, and a document's probabilities are the mean over its positions.
+mean cross-entropy of the label at every position. Prediction: whole texts are cut into segments of SEGMENT bytes, in
+which both directions start anew; the network labels every position, and a document's probabilities are the mean over all
+its positions.
+
+Beside the languages there is one more class, of no language: random words of Latin letters, of letters and digits, and of
+small and large alphabets of other scripts, made by rule. A text most of whose positions are of that class has none.
 """
 
 from __future__ import annotations
@@ -15,14 +19,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, fold
+from .common import bounded_batches, fold, free_names
 from .textbytes import buffers
 
-#: The sample: at most TRAIN_DOCUMENTS labelled documents (by a hash of the id), WINDOWS windows of each.
-TRAIN_DOCUMENTS, WINDOWS, WINDOW_BYTES = 2000, 4, 48
+#: The sample: at most TRAIN_DOCUMENTS labelled documents (by a hash of the id), and of each WINDOWS windows, whose places
+#: are hashed too. So learning reads at most 1.5 MB of text; a language without a document in the sample is not learned.
+TRAIN_DOCUMENTS, WINDOWS, WINDOW_BYTES = 2000, 16, 48
+#: Windows of no language for each one of a text.
+NOISE = 0.1
 HIDDEN, STEPS, BATCH, RATE = 8, 280, 256, 0.03
 #: Bytes of a segment, and segments at once, in prediction.
-SEGMENT, TOGETHER = 64, 2048
+SEGMENT, TOGETHER = 256, 2048
 
 
 class Network:
@@ -154,15 +161,30 @@ class Network:
             return total / size[:, None]
 
 
+def no_language(n: int, size: int = WINDOW_BYTES, seed: int = 5) -> list[np.ndarray]:
+    """n windows of random words."""
+    rng = np.random.default_rng(seed)
+    latin, digits = [chr(c) for c in range(97, 123)], list("0123456789")
+    out = []
+    for k in range(n):
+        base = int(rng.integers(0x100, 0x3000))
+        letters = (latin, [chr(c) for c in range(base, base + 40)], [chr(c) for c in rng.integers(0x3000, 0xD800, 200)], latin + digits)[k % 4]
+        text = " ".join("".join(letters[i] for i in rng.integers(0, len(letters), rng.integers(2, 11))) for _ in range(size // 2))
+        out.append(np.frombuffer(text.encode("utf-8")[:size], np.uint8))
+    return out
+
+
 def train_network(docs: DataFrame, parts: int = 5, held: int = 0, documents: int = TRAIN_DOCUMENTS) -> tuple[list[str], Network | None]:
-    """Languages and a network learned from labelled documents whose fold is not `held`, at most `documents` of them."""
+    """Languages and a network learned from labelled documents whose fold is not `held`, at most `documents` of them. The
+    languages are those of the sample, however many; the network's last class is that of no language. Of rows that repeat
+    an id, one row's windows are taken."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", parts) != held))
-    langs = sorted(r[0] for r in rows.select("lang").distinct().limit(1000).collect())
-    picked = rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents)
+    picked = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents)
     length = F.length("text")
     windows = [F.substring("text", (F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(length - WINDOW_BYTES + 1, F.lit(1))) + 1).cast("int"), F.lit(WINDOW_BYTES)) for k in range(WINDOWS)]
-    sample = rows.join(F.broadcast(picked.distinct()), "doc_id", "left_semi").select("doc_id", "lang", F.array(*windows).alias("windows"))
-    sample = sorted(sample.limit(2 * documents).collect(), key=lambda r: (r["doc_id"], r["windows"]))
+    sample = rows.join(F.broadcast(picked), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("lang", F.array(*windows).alias("windows"))).alias("x"))
+    sample = sorted(sample.select("doc_id", "x.lang", "x.windows").collect(), key=lambda r: r["doc_id"])  # bounded by `documents`
+    langs = sorted({r["lang"] for r in sample})
     text, label = [], []
     for r in sample:
         for window in r["windows"]:
@@ -172,53 +194,59 @@ def train_network(docs: DataFrame, parts: int = 5, held: int = 0, documents: int
                 label.append(langs.index(r["lang"]))
     if not text:
         return langs, None
-    net = Network(len(langs))
+    noise = no_language(max(1, int(len(text) * NOISE)))
+    text, label = text + noise, label + [len(langs)] * len(noise)
+    net = Network(len(langs) + 1)
     net.train(np.stack(text), np.array(label))
     return langs, net
 
 
-def _predicted(docs: DataFrame, parts: int, held: int) -> DataFrame:
-    """docs with __lang and __score, in one pass over the rows as they stand: nothing is shuffled."""
+def _predicted(docs: DataFrame, parts: int, held: int) -> tuple[DataFrame, list[str], bool]:
+    """docs with a language, its share among the languages, and the share of no language, in one pass over the rows as they
+    stand: nothing is shuffled. Also the names of these three columns, which no column of docs has, and whether any
+    language was learned."""
     langs, net = train_network(docs.select("doc_id", "text", "lang"), parts, held)
-    letters = bounded_batches(docs).withColumn("__text", F.when(F.col("text").rlike(r"\p{L}"), F.col("text")).otherwise(""))
+    letters, *names = free_names(docs, "letters", "lang_found", "lang_score", "lang_none")
+    rows = bounded_batches(docs).withColumn(letters, F.when(F.col("text").rlike(r"\p{L}"), F.col("text")).otherwise(""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = buffers(batch.column(batch.num_columns - 1))
-            name, score = ["und"] * batch.num_rows, [0.0] * batch.num_rows
+            name, score, none = ["und"] * batch.num_rows, [0.0] * batch.num_rows, [1.0] * batch.num_rows
             if net is not None and len(data):
                 p = net.of_documents(data, offsets)
                 for i in np.flatnonzero(np.diff(offsets)):
-                    best = int(p[i].argmax())
-                    name[i], score[i] = langs[best], min(1.0, float(p[i, best]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(name, pa.string()), pa.array(score, pa.float64())], [*batch.schema.names[:-1], "__lang", "__score"])
+                    of_langs = p[i, :-1]
+                    best = int(of_langs.argmax())
+                    name[i], score[i], none[i] = langs[best], min(1.0, float(of_langs[best] / max(of_langs.sum(), 1e-30))), float(p[i, -1])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(name, pa.string()), pa.array(score, pa.float64()), pa.array(none, pa.float64())], [*batch.schema.names[:-1], *names])
 
-    return letters.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__lang", T.StringType()), T.StructField("__score", T.DoubleType())]))
+    found = rows.mapInArrow(run, T.StructType([*docs.schema.fields, *map(T.StructField, names, (T.StringType(), T.DoubleType(), T.DoubleType()))]))
+    return found, names, net is not None
 
 
 def identify_languages(docs: DataFrame, parts: int = 5, held: int = 0) -> DataFrame:
-    """One row per row of docs: doc_id, held_out, lang_pred, score.
+    """One row per row of docs: doc_id, held_out, lang_pred, score, none_share.
 
-    The network reads nothing but text. Null texts and texts without any letter are `und` with score 0, and so is every
-    text if no labelled one exists. A null id is in no fold: it is never learned from and its held_out is null. Repeated
-    and tied rows are predicted alike; of tied languages the first by name is taken. Columns but doc_id, text and lang
-    are not read.
+    The network reads nothing but text, and all of it, however long. The score is the language's share among the languages,
+    none_share that of no language. Null texts and texts without any letter are `und` with score 0, and so is every text if
+    no labelled one exists. A null id is in no fold: it is never learned from and its held_out is null. Repeated and tied
+    rows are predicted alike; of tied languages the first by name is taken. Columns but doc_id, text and lang are not read,
+    so others may have any name. An empty table gives an empty result.
     """
-    found = _predicted(docs.select("doc_id", "text", "lang"), parts, held)
-    return found.select(F.col("doc_id").cast("long").alias("doc_id"), (fold("doc_id", parts) == held).alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
+    found, (lang, score, none), _ = _predicted(docs.select("doc_id", "text", "lang"), parts, held)
+    return found.select(F.col("doc_id").cast("long").alias("doc_id"), (fold("doc_id", parts) == held).alias("held_out"), F.col(lang).alias("lang_pred"), F.col(score).alias("score"), F.col(none).alias("none_share"))
 
 
-#: A text is rejected if it has no language, or if none has this share of its positions.
-MIN_SCORE = 0.3
+#: A text is rejected if it has no letter, or if more than this share of it is of no language; DOUBT bytes that are not are
+#: counted with each text, so that one of a few letters, which tell little, stays.
+MOST_NONE, DOUBT = 0.5, 16
 
 
-def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """docs without the texts that identify_languages gives no language, or one with a score under min_score; same
-    columns. Where there is no labelled text to learn from, only texts without letters go."""
-    found = _predicted(docs, 5, 0)
-    learned = F.col("__lang") != "und"
-    if docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", 5) != 0)).take(1):
-        keep = learned & (F.col("__score") >= min_score)
-    else:
-        keep = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return found.where(keep).select(*docs.columns)
+def keep_identified(docs: DataFrame, most_none: float = MOST_NONE) -> DataFrame:
+    """docs without the texts that identify_languages gives no language, or a none_share over most_none beyond doubt;
+    same columns, which may have any name. Where there is no labelled text to learn from, only texts without letters go."""
+    found, (lang, _, none), learned = _predicted(docs, 5, 0)
+    n = F.octet_length("text")
+    keep = (F.col(lang) != "und") & (F.col(none) * n / (n + DOUBT) <= most_none) if learned else F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    return found.where(keep).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -3,8 +3,9 @@
 1. Each 400-byte window belongs to its minimiser: the leftmost of its smallest-hashed 32-byte grams. Equal windows have
    equal minimisers, and neighbouring windows mostly share one, so a text becomes about one anchor in 185 bytes, each with
    its context: the bytes of all windows that belong to it.
-2. Contexts are counted by minimiser and content. A context met twice is wholly repeated; one that is alone with its
-   minimiser has no repeated window. Only minimisers with several contexts need their bytes.
+2. Minimisers met twice are found, and only their contexts go on; these are counted by minimiser and content. A context
+   met twice is wholly repeated; one that is alone with its minimiser has no repeated window. Only minimisers with several
+   contexts need their bytes.
 3. Those bytes, one copy of each context, are dealt by minimiser to shards of bounded size. Each shard builds its suffix
    array by induced sorting and the permuted common prefixes; windows whose common prefix with a neighbour in the order
    reaches 400 bytes are repeated. All equal windows are in one shard, so this is exact.
@@ -23,10 +24,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, maybe_in, shared_table
+from .common import bounded_batches, free_names, key_filter, maybe_in, row_hash, shared_table
 from .suffixes import common_prefixes, suffix_array
 from .textbytes import BYTE_KEYS, U64, buffers, mix, slices
 
@@ -101,8 +101,7 @@ def _context_keys(data: np.ndarray, at: np.ndarray, windows: np.ndarray, place:
 
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, row: a hash of id and text that tells rows apart where ids are null or repeated, text)."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col).cast("long"), text).alias("row"), text.alias("text"))
+    return bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), row_hash(id_col, text_col).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
 def _batches(batch: pa.RecordBatch, length: int, gram: int) -> Iterator[tuple]:
@@ -129,14 +128,12 @@ def anchor_table(rows: DataFrame, length: int, gram: int) -> DataFrame:
 
 def context_bytes(rows: DataFrame, needed: DataFrame, length: int, gram: int) -> DataFrame:
     """(key, context, windows, bytes) of the contexts whose key is in needed(key), each once a task batch."""
-    from .common import key_filter
-
     test = key_filter(needed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, data, (_, _, windows, key, place, at) in _batches(batch, length, gram):
-                ok = np.flatnonzero(test(key))
+                ok = np.arange(len(key)) if test is None else np.flatnonzero(test(key))
                 windows, key, place, at = windows[ok], key[ok], place[ok], at[ok]
                 context = _context_keys(data, at, windows, place, length)
                 _, once = np.unique(context, return_index=True)
@@ -201,33 +198,37 @@ def window_repeats(contents: DataFrame, length: int) -> DataFrame:
                 digests = [hashlib.blake2b(text[i : i + length], digest_size=16).digest() for i in range(n)]
                 yield pa.RecordBatch.from_arrays([pa.array([key] * n, pa.int64()), pa.array([context] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(digests, pa.binary())], ["key", "context", "low", "digest"])
 
-    w = W.partitionBy("digest")
     windows = contents.mapInArrow(run, "key long, context long, low int, digest binary")
-    return windows.withColumn("n", F.count(F.lit(1)).over(w)).where("n > 1").select("key", "context", "low", F.col("low").alias("high"))
+    several = windows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return windows.join(several, "digest", "left_semi").select("key", "context", "low", F.col("low").alias("high"))
 
 
 def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_contexts: int = SHARD_CONTEXTS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, row, spans): each document's intervals of repeated windows as [first byte, last byte + 1), not merged.
     Documents without any are absent."""
     found = shared_table(anchor_table(rows, length, gram), "anchors")
-    counted = found.groupBy("key", "context").agg(F.count(F.lit(1)).alias("n"), F.max("windows").alias("windows"))
-    counted = counted.withColumn("contexts", F.count(F.lit(1)).over(W.partitionBy("key")))
-    rows_found = found.count()
-    counted = shared_table(counted.where("n > 1 or contexts > 1"), "contexts", rows_found)
-
-    several = counted.where("contexts > 1")
+    n_found = found.count()
+    met = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("low"), F.max("context").alias("high"))
+    met = shared_table(met.where("n > 1").select("key", (F.col("low") < F.col("high")).alias("several")), "keys", n_found)
+    counted = maybe_in(found, "key", met).where("maybe").join(met, "key").groupBy("key", "context")
+    counted = counted.agg(F.count(F.lit(1)).alias("n"), F.max("windows").alias("windows"), F.max("several").alias("several"))
+    counted = shared_table(counted, "contexts", n_found)
+
+    several = counted.where("several")
     n_several, total = (x or 0 for x in several.agg(F.count(F.lit(1)), F.sum(F.col("windows").cast("long") + length)).first())
-    contents = context_bytes(rows, several.select("key").distinct(), length, gram)
-    contents = contents.join(several.select("key", "context", "contexts"), ["key", "context"]).dropDuplicates(["key", "context"])
-    contents = shared_table(contents.select("key", "context", "windows", "bytes", "contexts"), "contents", n_several, 10_000)
-    kinds = contents.drop("contexts")
-    parts = [shard_repeats(kinds.where(contents.contexts <= shard_contexts), max(1, -(-total // shard_bytes)), length)]
-    if several.where(F.col("contexts") > shard_contexts).take(1):
-        parts.append(window_repeats(kinds.where(contents.contexts > shard_contexts), length))
-    runs = parts[0] if len(parts) == 1 else parts[0].union(parts[1])
+    contents = context_bytes(rows, met.where("several").select("key"), length, gram)
+    contents = contents.join(several.select("key", "context"), ["key", "context"], "left_semi").dropDuplicates(["key", "context"])
+    contents = shared_table(contents.select("key", "context", "windows", "bytes"), "contents", n_several, 10_000)
+    crowded = several.groupBy("key").agg(F.count(F.lit(1)).alias("contexts")).where(F.col("contexts") > shard_contexts)
+    crowded = shared_table(crowded.select("key"), "crowded", n_several // shard_contexts + 1)
+    shards = max(1, -(-total // shard_bytes))
+    if crowded.take(1):
+        runs = shard_repeats(contents.join(crowded, "key", "left_anti"), shards, length).union(window_repeats(contents.join(crowded, "key", "left_semi"), length))
+    else:
+        runs = shard_repeats(contents, shards, length)
     whole = counted.where("n > 1").select("key", "context", F.lit(0).alias("low"), (F.col("windows") - 1).alias("high"))
     single = counted.where("n = 1").select("key", "context")
-    runs = shared_table(runs.join(single, ["key", "context"], "left_semi").union(whole), "runs", rows_found)
+    runs = shared_table(runs.join(single, ["key", "context"], "left_semi").union(whole), "runs", n_found)
 
     near = maybe_in(found, "context", runs.select("context").distinct()).where("maybe").drop("maybe")
     spans = near.join(runs, ["key", "context"])
@@ -254,14 +255,14 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*kept, text[at:]])
 
 
-def _with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str, cols: list[str]) -> tuple[DataFrame, DataFrame]:
-    """docs' columns `cols`: rows that may have spans, with them as __spans, and all others. Only the former are shuffled."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(*cols, F.xxhash64(F.col(id_col).cast("long"), text).alias("__row"))
-    marked = maybe_in(rows, "__row", spans.select("row"), "__maybe")
-    right = spans.select(F.col("doc_id").alias("__id"), F.col("row").alias("__row_of"), F.col("spans").alias("__spans"))
-    on = (F.col("__row") == F.col("__row_of")) & F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
-    return marked.where("__maybe").join(right, on, "left").select(*cols, "__spans"), marked.where("not __maybe").select(*cols)
+def _with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """docs' rows that may have spans, with them as a last column, and all others. Only the former are shuffled."""
+    row, maybe, found, id_of, row_of = free_names(docs, "row", "maybe", "spans", "id_of", "row_of")
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    marked = maybe_in(docs.withColumn(row, row_hash(id_col, text_col)), row, spans.select("row"), maybe)
+    right = spans.select(F.col("doc_id").alias(id_of), F.col("row").alias(row_of), F.col("spans").alias(found))
+    on = (F.col(row) == F.col(row_of)) & F.col(id_col).cast("long").eqNullSafe(F.col(id_of))
+    return marked.where(F.col(maybe)).join(right, on, "left").select(*cols, found), marked.where(~F.col(maybe)).select(*cols)
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, **bounds) -> DataFrame:
@@ -269,7 +270,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Texts are their UTF-8 bytes; null and empty ones have none, and texts under `length` bytes lose nothing. Strings are
     judged on the input, also against their own document. Rows with null or repeated ids are judged as documents of their
-    own; wholly equal rows repeat each other. Only the two named columns are read. An empty table gives an empty result.
+    own; wholly equal rows repeat each other. Very long texts are read whole. Only the two named columns are read. An empty
+    table gives an empty result.
     """
     spans = shared_table(repeated_spans(_documents(docs, id_col, text_col), length, **bounds), "spans")
 
@@ -287,15 +289,17 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in (n, removed, number)), pa.array(digest, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    touched, whole = _with_spans(rows, spans, "doc_id", "text", ["doc_id", "text"])
+    touched, whole = _with_spans(rows, spans, "doc_id", "text")
     text, none = F.coalesce("text", F.lit("")), F.lit(0).cast("long")
     whole = whole.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), F.sha2(text, 256).alias("kept_sha256"))
     return touched.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").union(whole)
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """docs with repeated bytes cut out of the text; same columns. Where a cut parts a character, what is left of it goes
-    too. A text without repeats, null ones too, stays as it is."""
+    """docs with repeated bytes cut out of the text; same columns, which may have any name. Where a cut parts a character,
+    what is left of it goes too. A text without repeats, null, empty and short ones too, stays as it is; a very long one
+    is read whole. Rows of one id with different texts are judged apart; wholly equal rows repeat each other. An empty
+    table gives an empty result."""
     spans = shared_table(repeated_spans(_documents(docs, id_col, text_col), length), "spans")
     at = docs.columns.index(text_col)
 
@@ -308,5 +312,5 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             cols[at] = pa.array(texts, cols[at].type)
             yield pa.RecordBatch.from_arrays(cols, batch.schema.names[:-1])
 
-    touched, whole = _with_spans(docs, spans, id_col, text_col, docs.columns)
+    touched, whole = _with_spans(docs, spans, id_col, text_col)
     return touched.mapInArrow(run, docs.schema).union(whole)

@@ -2,46 +2,19 @@
 
 Suffixes are classified as larger (L) or smaller (S) than the next one. The leftmost of each run of S suffixes (LMS) are
 sorted first: their substrings are sorted by one induction, named, and the shorter text of names is sorted in the same
-way, or by prefix doubling if it has more than MOST_BUCKETS names, as nearly all shards have. A second induction then
-places all others. Induction goes through the buckets of first symbols in order; what one bucket induces is placed with
-a few whole-array operations, so its work is linear in the text; that of doubling is not.
+way, recursively. A second induction then places all others. With few symbols, induction goes through the buckets of
+first symbols in order and places what one bucket induces with a few whole-array operations; with many, as texts of names
+have, it goes place by place with an array of bucket heads. Either way its work is linear in the text.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Texts of more symbols than this are sorted by doubling: a bucket a symbol would no longer pay.
+#: Texts of more symbols than this are induced place by place: whole-array operations for each bucket would no longer pay.
 MOST_BUCKETS = 1024
 
 
-def _by_doubling(text: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of a text of names: ranks of 1, 2, 4, ... symbols. Only suffixes still tied are sorted again."""
-    n = len(text)
-    order = np.argsort(text, kind="stable")
-    sorted_text = text[order]
-    head = np.concatenate([[True], sorted_text[1:] != sorted_text[:-1]])
-    rank = np.empty(n, np.int64)
-    starts = np.flatnonzero(head)
-    rank[order] = starts[np.cumsum(head) - 1]
-    step = 1
-    while True:
-        size = np.diff(np.append(np.flatnonzero(head), n))
-        tied = np.flatnonzero(np.repeat(size > 1, size))  # places in the order
-        if not len(tied):
-            return order
-        who = order[tied]
-        after = np.where(who + step < n, rank[np.minimum(who + step, n - 1)] + 1, 0)
-        group = rank[who]
-        sub = np.lexsort((after, group))
-        who, group, after = who[sub], group[sub], after[sub]
-        order[tied] = who
-        new = np.concatenate([[True], (group[1:] != group[:-1]) | (after[1:] != after[:-1])])
-        head[tied] = new
-        rank[who] = tied[np.flatnonzero(new)][np.cumsum(new) - 1]
-        step *= 2
-
-
 def _types(text: np.ndarray) -> np.ndarray:
     """True for S suffixes. A virtual smallest symbol follows the last one."""
     runs = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
@@ -107,18 +80,51 @@ def _induce(text: np.ndarray, small: np.ndarray, lms: np.ndarray, symbols: int)
     return np.concatenate(out)[::-1]
 
 
+def _induce_names(text: np.ndarray, small: np.ndarray, lms: np.ndarray, symbols: int) -> np.ndarray:
+    """The same for texts of many symbols, whose buckets are short: one place after another."""
+    before = np.append(-1, text[:-1]).astype(np.int64)  # the bucket of the suffix before each one, -1 if it is of the other kind
+    is_small = np.append(False, small[:-1])
+    large_before = np.append(np.where(is_small, -1, before), -1).tolist()  # an empty place, -1, reads the last value
+    small_before = np.where(is_small, before, -1).tolist()
+    tails = np.cumsum(np.bincount(text, minlength=symbols))
+    heads = np.append(0, tails[:-1]).tolist()
+    first = text[lms]
+    by_symbol = np.argsort(first, kind="stable")
+    first = first[by_symbol]
+    start = np.searchsorted(first, first, "left")
+    end = np.searchsorted(first, first, "right")
+    n = len(text)
+    placed = np.full(n, -1, np.int64)
+    placed[tails[first] - (end - start) + np.arange(len(first)) - start] = lms[by_symbol]
+    order = placed.tolist()
+    tails = tails.tolist()
+    order[heads[text[-1]]] = n - 1
+    heads[text[-1]] += 1
+    for i in order:  # grows behind the place that is read
+        c = large_before[i]
+        if c >= 0:
+            h = heads[c]
+            order[h] = i - 1
+            heads[c] = h + 1
+    for i in reversed(order):
+        c = small_before[i]
+        if c >= 0:
+            h = tails[c] = tails[c] - 1
+            order[h] = i - 1
+    return np.array(order, lms.dtype)
+
+
 def suffix_array(text: np.ndarray, symbols: int = 256) -> np.ndarray:
     """Starts of the suffixes of an integer array (values under `symbols`) in lexicographic order."""
     n = len(text)
     kind = np.int32 if n < 1 << 31 else np.int64
     if n < 2:
         return np.arange(n, dtype=kind)
-    if symbols > MOST_BUCKETS:
-        return _by_doubling(text).astype(kind)
+    induce = _induce if symbols <= MOST_BUCKETS else _induce_names
     small = _types(text)
     lms = (np.flatnonzero(small[1:] & ~small[:-1]) + 1).astype(kind)
     if len(lms) > 1:
-        order = _induce(text, small, lms, symbols)
+        order = induce(text, small, lms, symbols)
         is_lms = np.zeros(n, bool)
         is_lms[lms] = True
         order = order[is_lms[order]]  # by their substrings
@@ -141,7 +147,7 @@ def suffix_array(text: np.ndarray, symbols: int = 256) -> np.ndarray:
             named[order] = names
             order = lms[suffix_array(named[lms], int(names[-1]) + 1)]
         lms = order
-    return _induce(text, small, lms, symbols)
+    return induce(text, small, lms, symbols)
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, wall: int) -> tuple[np.ndarray, np.ndarray]:

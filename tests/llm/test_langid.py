@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 
-from parcelflow.llm.langid import Network, identify_languages, keep_identified
+from parcelflow.llm.langid import SEGMENT, Network, identify_languages, keep_identified, train_network
 
 from .cases import SCHEMA, documents
 
@@ -65,3 +65,50 @@ def test_cases(spark):
     kept = keep_identified(spark.createDataFrame(rows, SCHEMA))
     assert kept.count() == sum(letters(r[1]) for r in rows) and kept.columns[1] == "text"
     assert identify_languages(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def by_hand(net, text):
+    """Mean probabilities of a text, one byte, unit and direction after another."""
+    raw, w, n = text.encode(), net.weights, net.hidden
+    total = np.zeros(net.classes)
+    for i in range(0, len(raw), SEGMENT):
+        part = raw[i : i + SEGMENT]
+        states = np.zeros((len(part), 2 * n))
+        for k, (d, places) in enumerate((("f", range(len(part))), ("b", range(len(part) - 1, -1, -1)))):
+            h = np.zeros(n)
+            for t in places:
+                x, g = w[f"x{d}"][:, part[t]].astype(float), w[f"u{d}"].astype(float) @ h
+                update, reset = 1 / (1 + np.exp(-x[:n] - g[:n])), 1 / (1 + np.exp(-x[n : 2 * n] - g[n : 2 * n]))
+                h = update * h + (1 - update) * np.tanh(x[2 * n :] + reset * (g[2 * n :] + w[f"c{d}"][:, 0]))
+                states[t, k * n : (k + 1) * n] = h
+        for s in states:
+            e = np.exp(w["o"] @ s + w["p"][:, 0])
+            total += e / e.sum()
+    return total / len(raw)
+
+
+def test_equals_brute_force(spark):
+    rows = corpus(80) + [(900, "né" * 700 + " ka lo", None, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    langs, net = train_network(docs.select("doc_id", "text", "lang"))
+    got = {r["doc_id"]: r for r in identify_languages(docs).collect()}
+    for r in rows:
+        p = by_hand(net, r[1])
+        best = int(p[:-1].argmax())
+        assert got[r[0]]["lang_pred"] == langs[best]
+        assert abs(got[r[0]]["score"] - p[best] / p[:-1].sum()) < 1e-3 and abs(got[r[0]]["none_share"] - p[-1]) < 1e-3
+
+
+def test_texts_of_no_language_go(spark):
+    rng = random.Random(8)
+    junk = ["".join(rng.choice("bcdfghjklmnpqrstvwxyz ") for _ in range(400)), "Это совсем другой язык и его никто не учил " * 5, "日本語の文章です" * 20]
+    rows = corpus() + [(1000 + i, t, None, None, None, None, None, None, None) for i, t in enumerate(junk)]
+    kept = {r["doc_id"] for r in keep_identified(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert kept == {r[0] for r in rows if r[0] < 1000}
+
+
+def test_languages_are_not_capped(spark, monkeypatch):
+    monkeypatch.setattr(Network, "train", lambda *_: 0.0)
+    rows = [(i, f"text number {i} " * 3, f"l{i}", None, None, None, None, None, None) for i in range(1300)]
+    langs, _ = train_network(spark.createDataFrame(rows, SCHEMA).select("doc_id", "text", "lang"), documents=1300)
+    assert len(langs) > 1000

@@ -3,7 +3,7 @@ import re
 import pytest
 
 import corpus_pipeline
-from parcelflow.llm import langid
+from parcelflow.llm import exact_dedup, langid, minhash
 from parcelflow.llm.packing import encoder
 
 from . import test_minhash, test_suffix_dedup
@@ -27,16 +27,16 @@ def brute(rows, kept_by_language):
     kept = {eval(x)[0] for x in test_minhash.brute(rows, corpus_pipeline.NEAR_PERCENT) if eval(x)[3]}
     rows = [r for r in rows if r[0] in kept]
     raw = [r[1].encode() for r in rows]
-    seen = {}
+    seen, n = {}, corpus_pipeline.REPEAT_BYTES
     for t in raw:
-        for i in range(len(t) - 399):
-            seen[t[i : i + 400]] = seen.get(t[i : i + 400], 0) + 1
+        for i in range(len(t) - n + 1):
+            seen[t[i : i + n]] = seen.get(t[i : i + n], 0) + 1
     out = {}
     for r, t in zip(rows, raw):
         gone = bytearray(len(t))
-        for i in range(len(t) - 399):
-            if seen[t[i : i + 400]] > 1:
-                gone[i : i + 400] = b"\1" * 400
+        for i in range(len(t) - n + 1):
+            if seen[t[i : i + n]] > 1:
+                gone[i : i + n] = b"\1" * n
         out[r[0]] = bytes(b for b, g in zip(t, gone) if not g).decode("utf-8", "ignore")
     return out
 
@@ -67,3 +67,33 @@ def test_stages_keep_columns_and_take_odd_tables(spark):
             docs = stage(spark, docs, "")
             assert docs.columns == names
         assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() >= len(rows) // 4
+
+
+def test_a_passage_of_51_words_stands_once_at_most(spark):
+    words = [f"{a}{b}" for a in ("and", "the", "for", "bus", "car") for b in ("", "s", "er", "ly", "en", "al", "ic", "us", "ed", "or", "ing")]
+    passage = " ".join(words[:51])
+    assert len(passage.encode()) < 400
+    rows = [(1, "alpha beta " * 3 + "x" * 90 + " " + passage + " " + "tail one " * 5, "en", "a", 1), (2, "quite other words " * 9 + passage, "en", "a", 1), (3, "nothing in common here " * 2, "en", "a", 1)]
+    docs = spark.createDataFrame(rows, COLUMNS)
+    out = {r["doc_id"]: r["text"] for r in corpus_pipeline.repeated_strings(spark, docs, "").collect()}
+    assert passage not in out[1] and passage not in out[2] and out[3] == rows[2][1]
+
+
+CLASHING = "doc_id long, text string, lang string, __text string, __key string, __row string, __maybe string, __gone string, __lang string, __score string, __spans string, maybe string, Row string, `key` string, spans string, whole string, place string, text_sha256 string, keep_id string"
+
+
+def test_rows_are_told_apart_by_id_and_text_whatever_their_columns(spark):
+    """A text that no other row holds stays, even if its id comes again with a text that goes."""
+    many = " ".join(f"word{i}" for i in range(60)) + " "
+    texts = [(1, "alpha text one"), (1, "beta text"), (0, "beta text"), (None, "beta text"), (None, "gamma text"), (7, many + "a b c d"), (5, many), (7, "delta"), (7, None), (6, None), (8, "")]
+    rows = [(i, t, "en", *"abcdefghijklmnop") for i, t in texts]
+    docs = spark.createDataFrame(rows, CLASHING)
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        assert stage(spark, docs, "").columns == docs.columns
+    exact = [(r["doc_id"], r["text"]) for r in corpus_pipeline.exact_copies(spark, docs, "").collect()]
+    assert sorted(map(repr, exact)) == sorted(map(repr, [(1, "alpha text one"), (0, "beta text"), (None, "gamma text"), (7, many + "a b c d"), (5, many), (7, "delta"), (6, None)]))
+    by_shuffle = exact_dedup.drop_exact_copies(docs, broadcast_groups=0).collect()
+    assert sorted(map(repr, ((r["doc_id"], r["text"]) for r in by_shuffle))) == sorted(map(repr, exact))
+    near = [(r["doc_id"], r["text"]) for r in minhash.drop_near_copies(docs, 80).collect()]
+    gone = [(1, "beta text"), (7, many + "a b c d")]
+    assert sorted(map(repr, near)) == sorted(repr(x) for x in texts if x not in gone)
