@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 #: anything is not made.
 KEY_BITS, MOST_FILTER_BITS, FULL_BITS = 12, 1 << 26, 4
 #: Most rows and bytes that Spark hands a Python worker at once.
-BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
 def bounded_batches(df: DataFrame) -> DataFrame:

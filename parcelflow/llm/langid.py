@@ -29,7 +29,7 @@ TRAIN_DOCUMENTS, WINDOWS, WINDOW_BYTES = 2000, 16, 48
 NOISE = 0.1
 HIDDEN, STEPS, BATCH, RATE = 8, 280, 256, 0.03
 #: Bytes of a segment, and segments at once, in prediction.
-SEGMENT, TOGETHER = 256, 2048
+SEGMENT, TOGETHER = 128, 1024
 
 
 class Network:

@@ -32,9 +32,9 @@ from .textbytes import BYTE_KEYS, U64, buffers, mix, slices
 
 LENGTH = 400
 GRAM = 32
-#: Contexts of one minimiser that may stand in one shard, the bytes of a shard (its arrays take some 60 times as much),
+#: Contexts of one minimiser that may stand in one shard, the bytes of a shard (its arrays and lists take some 100 times as much),
 #: and shards that a task sorts one after another.
-SHARD_CONTEXTS, SHARD_BYTES, SHARDS_A_TASK = 4000, 5 << 18, 12
+SHARD_CONTEXTS, SHARD_BYTES, SHARDS_A_TASK = 4000, 5 << 17, 24
 #: Stands between contexts in a shard; no UTF-8 text holds it.
 WALL = 255
 _STEPS = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
