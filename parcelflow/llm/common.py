@@ -19,12 +19,17 @@ from pyspark.sql import types as T
 KEY_BITS, MOST_FILTER_BITS, FULL_BITS = 12, 1 << 26, 4
 #: Most rows and bytes that Spark hands a Python worker at once.
 BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+#: How Python workers, which serve one task after another, keep memory: one arena, and large arrays go back at once.
+WORKER_ENVIRONMENT = {"MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": "262144", "MALLOC_TRIM_THRESHOLD_": "262144", "ARROW_DEFAULT_MEMORY_POOL": "system", "OMP_NUM_THREADS": "1", "OPENBLAS_NUM_THREADS": "1"}
 
 
 def bounded_batches(df: DataFrame) -> DataFrame:
     """df; its session's Arrow batches are made no larger than these bounds, so that a worker's memory does not follow the
-    size of texts. Every operator calls this; smaller settings stay."""
-    conf = df.sparkSession.conf
+    size of texts, and Python workers to give memory back. Every operator calls this; smaller settings, and what the
+    session has set for its workers, stay."""
+    conf, environment = df.sparkSession.conf, df.sparkSession.sparkContext.environment
+    for key, value in WORKER_ENVIRONMENT.items():
+        environment.setdefault(key, value)
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
         now = conf.get(key, None)
         if now is None or not now.isdecimal() or not 0 < int(now) <= most:
@@ -68,7 +73,7 @@ def shared_table(df: DataFrame, name: str, most_rows: int | None = None, rows_a_
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return bounded_batches(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
