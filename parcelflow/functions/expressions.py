@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EARTH_KM = 6371.0
@@ -59,6 +59,23 @@ def trend_id(geog_id: Column | str = "geog_id", kind: Column | str = "propertyTy
     return F.concat_ws("_", _col(geog_id), F.coalesce(_col(kind), F.lit("ALL")))
 
 
+def clean_name(name: Column | str) -> Column:
+    return F.lower(F.trim(_col(name)))
+
+
+def title_name(name: Column | str) -> Column:
+    return F.initcap(F.trim(_col(name)))
+
+
+def ids_to_json(ids: Column | str) -> Column:
+    return F.to_json(_col(ids))
+
+
+def ids_from_json(rows: DataFrame, column: str) -> DataFrame:
+    """rows with a column of JSON lists as arrays of text; what is no list becomes null."""
+    return rows.withColumn(column, F.from_json(column, "array<string>"))
+
+
 def month_key(time: Column | str) -> Column:
     return F.date_format(_col(time), "yyyy-MM")
 

@@ -46,7 +46,7 @@ def points_in_areas(points: DataFrame, geo: DataFrame, key: str = "_id", touchin
     areas = areas.withColumn("cy", F.explode(F.sequence(at(F.col("box.south")), at(F.col("box.north"))))).withColumn("cx", F.explode(F.sequence(at(F.col("box.west")), at(F.col("box.east")))))
     places = points.where(F.col("lat").isNotNull() & F.col("lng").isNotNull()).select(F.col(key), F.col("lat").alias("__lat"), F.col("lng").alias("__lng"))
     places = places.withColumns({"cy": at(F.col("__lat")), "cx": at(F.col("__lng"))})
-    return places.join(areas, ["cy", "cx"]).where(contains_point(F.col("rings"), F.col("__lat"), F.col("__lng"), touching)).select(key, "geog_id", "level")
+    return places.join(small(areas), ["cy", "cx"]).where(contains_point(F.col("rings"), F.col("__lat"), F.col("__lng"), touching)).select(key, "geog_id", "level")
 
 
 def assign_guids(listings: DataFrame, geo: DataFrame, overlaps: DataFrame | None = None, key: str = "_id", cutoff=None) -> DataFrame:

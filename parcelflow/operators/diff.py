@@ -3,42 +3,52 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .areas import small
 from ..functions.expressions import close_both, close_to, same_set
 
 KEYS = ["geog_id", "propertyType"]
 
 
-def series_delta(previous: DataFrame, current: DataFrame, value: str = "value") -> DataFrame:
+def _cells(previous: DataFrame, current: DataFrame, value: str, by: list[str]) -> DataFrame:
+    """Both runs side by side, in one full join: by, KEYS, month, __new, __old, and whether each run has the cell."""
+    keys = [*by, *KEYS, "month"]
+    new = current.select(*keys, F.col(value).alias("__new"), F.lit(True).alias("__has"))
+    old = previous.select(*keys, F.col(value).alias("__old"), F.lit(True).alias("__had"))
+    return new.join(old, keys, "full")
+
+
+def series_delta(previous: DataFrame, current: DataFrame, value: str = "value", by: list[str] | None = None) -> DataFrame:
     """current's rows of the keys that are new or differ in any month. If the two runs do not have the same months, all
-    of current. Values are compared exactly, and two nulls are equal. Keys that vanished are not reported."""
-    months = lambda df: df.where(F.col(value).isNotNull()).select("month").distinct()
-    if months(previous).exceptAll(months(current)).union(months(current).exceptAll(months(previous))).take(1):
-        return current
-    old = previous.select(*KEYS, "month", F.col(value).alias("__old"), F.lit(True).alias("__had"))
-    cells = current.select(*KEYS, "month", F.col(value).alias("__new")).join(old, [*KEYS, "month"], "full")
-    differs = cells.where(~F.col("__old").eqNullSafe(F.col("__new"))).select(*KEYS).distinct()
-    new = current.select(*KEYS).distinct().join(previous.select(*KEYS).distinct(), KEYS, "left_anti")
-    return current.join(differs.union(new).distinct(), KEYS, "left_semi")
+    of current. Values are compared exactly, and two nulls are equal. Keys that vanished are not reported. With `by`, say
+    a metric, each of its values is compared as a table of its own.
+
+    Both runs are read once: what differs is a window over a key's months, and the months, few as they are, are compared
+    in an aggregate that shares the join's shuffles and comes back by broadcast.
+    """
+    by = by or []
+    cells = _cells(previous, current, value, by)
+    months = cells.groupBy(*by, "month").agg(F.max(F.col("__new").isNotNull()).alias("n"), F.max(F.col("__old").isNotNull()).alias("o"))
+    other = months.groupBy(*by).agg(F.max(F.col("n") != F.col("o")).alias("__other"))
+    cells = cells.join(F.broadcast(other), by) if by else cells.crossJoin(F.broadcast(other))
+    w = W.partitionBy(*by, *KEYS)
+    changed = F.max(~F.col("__old").eqNullSafe(F.col("__new"))).over(w) | F.max(F.col("__had")).over(w).isNull()
+    out = cells.withColumn("__changed", changed).where(F.col("__has") & (F.col("__other") | F.col("__changed")))
+    return out.select(*by, *KEYS, "month", F.col("__new").alias(value))
 
 
 def tolerant_delta(previous: DataFrame | None, current: DataFrame, value: str = "value") -> DataFrame:
     """(geog_id, propertyType) that are new, gone, or differ in a month by more than a tolerance. Without a previous run,
-    all; without current rows, none."""
-    keys = current.select(*KEYS).distinct()
+    all; without current rows, none. Both runs are read once."""
     if previous is None:
-        return keys
-    if not current.take(1):
-        return keys.limit(0)
-    old = previous.select(*KEYS, "month", F.col(value).alias("__old"))
-    cells = current.select(*KEYS, "month", F.col(value).alias("__new")).join(old, [*KEYS, "month"], "full")
-    return cells.where(~close_to(F.col("__old"), F.col("__new"))).select(*KEYS).union(_missing(previous, current)).distinct()
-
-
-def _missing(previous: DataFrame, current: DataFrame) -> DataFrame:
-    a, b = previous.select(*KEYS).distinct(), current.select(*KEYS).distinct()
-    return a.exceptAll(b).union(b.exceptAll(a))
+        return current.select(*KEYS).distinct()
+    cells = _cells(previous, current, value, [])
+    some = F.broadcast(cells.agg(F.max("__has").alias("__some")))
+    of_key = cells.groupBy(*KEYS).agg(F.max(~close_to(F.col("__old"), F.col("__new"))).alias("__differs"), F.max("__has").alias("__has"), F.max("__had").alias("__had"))
+    out = of_key.crossJoin(some).where(F.col("__some") & (F.col("__differs") | F.col("__has").isNull() | F.col("__had").isNull()))
+    return out.select(*KEYS)
 
 
 def comparables_delta(previous: DataFrame, current: DataFrame, removals: bool = False) -> DataFrame:
@@ -58,4 +68,4 @@ def comparables_delta(previous: DataFrame, current: DataFrame, removals: bool =
 
 def append_month(snapshots: DataFrame, new: DataFrame) -> DataFrame:
     """snapshots with the rows of new whose month they do not have yet."""
-    return snapshots.unionByName(new.join(F.broadcast(snapshots.select("year_month").distinct()), "year_month", "left_anti"))
+    return snapshots.unionByName(new.join(small(snapshots.select("year_month").distinct()), "year_month", "left_anti"))

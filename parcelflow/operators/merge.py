@@ -74,12 +74,17 @@ def changed_between(start: dt.datetime, end: dt.datetime, added: str = "addedOn"
     return F.coalesce(F.col(added).between(lo, hi), F.lit(False)) | F.coalesce((second(updated) > lo) & (second(updated) < hi), F.lit(False))
 
 
+def drop_all_null(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """rows without those that have a null in all of the columns."""
+    return rows.na.drop("all", subset=columns)
+
+
 def union_provinces(tables: dict[str, DataFrame], keys: list[str] | None = None) -> DataFrame:
     """The latest rows of every province's table, with the province; at least one table is needed."""
     if not tables:
         raise ValueError("no province has a table")
     out = None
     for province, table in sorted(tables.items()):
-        rows = latest(table, keys).withColumn("prov", F.lit(province))
+        rows = table.withColumn("prov", F.lit(province))
         out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
-    return out
+    return latest(out, ["prov", *(keys or ["_id"])])

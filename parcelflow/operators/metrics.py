@@ -112,6 +112,11 @@ def value_counts(rows: DataFrame, *cols: str) -> DataFrame:
     return rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
 
 
+def month_bounds(rows: DataFrame, *keys: str, month: str = "month") -> DataFrame:
+    """The first and last month of each key, and how many different ones it has."""
+    return rows.groupBy(*keys).agg(F.min(month).alias("first"), F.max(month).alias("last"), F.count_distinct(month).alias("months"))
+
+
 def diagnostics(rows: DataFrame, date: str) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("n"), F.min(date).alias("first"), F.max(date).alias("last"))
 

@@ -12,18 +12,17 @@ from ..functions.expressions import EARTH_KM, haversine_km
 
 RADIUS_KM, MOST = 1.0, 12
 PROFILE = ["propertyType", "bedsInt", "bathsInt"]
-#: Rows of sold listings and of active ones in one cell are dealt over so many salts where a profile's cell is crowded.
-SALTS = 8
 
 
-def comparables(active: DataFrame, sold: DataFrame, radius_km: float = RADIUS_KM, most: int = MOST, band_degrees: float = 1.0, salts: int = SALTS) -> DataFrame:
+def comparables(active: DataFrame, sold: DataFrame, radius_km: float = RADIUS_KM, most: int = MOST, band_degrees: float = 1.0) -> DataFrame:
     """(listing_id, sold_id, distance_km, rank): at most `most` sold listings strictly within the radius, nearest first,
     ties by id.
 
     The plane is cut into cells a little larger than the radius. Longitudes shrink towards the poles, so cells are cut
     within bands of latitude by the width that the band's poleward edge needs. An active listing looks into its own and
     the neighbouring cells of each band it touches: an equi-join on profile, band and cell, with the exact distance on
-    what is left. Crowded cells are dealt over salts by the sold listing.
+    what is left. Nothing but ids, keys and places is joined; a crowded cell is a skewed partition of an inner join, which
+    adaptive execution splits.
     """
     step = math.degrees(radius_km / EARTH_KM) * 1.01
     band = lambda lat: F.floor(lat / band_degrees).cast("int")
@@ -36,14 +35,13 @@ def comparables(active: DataFrame, sold: DataFrame, radius_km: float = RADIUS_KM
     for c in PROFILE:
         usable = usable & F.col(c).isNotNull()
     s = sold.where(usable).select(*PROFILE, F.col("_id").alias("sold_id"), F.col("lat").alias("lat_s"), F.col("lng").alias("lng_s"), band(F.col("lat")).alias("band"))
-    s = s.withColumns({"cy": F.floor(F.col("lat_s") / step).cast("int"), "cx": F.floor(F.col("lng_s") / width(F.col("band"))).cast("int"), "salt": F.pmod(F.xxhash64("sold_id"), F.lit(salts)).cast("int")})
+    s = s.withColumns({"cy": F.floor(F.col("lat_s") / step).cast("int"), "cx": F.floor(F.col("lng_s") / width(F.col("band"))).cast("int")})
     near = F.sequence(F.lit(-1), F.lit(1))
     a = active.where(usable).select(*PROFILE, F.col("_id").alias("listing_id"), F.col("lat").alias("lat_a"), F.col("lng").alias("lng_a"))
     a = a.withColumn("band", F.explode(F.array_distinct(F.array(band(F.col("lat_a") - step), band(F.col("lat_a")), band(F.col("lat_a") + step)))))
     a = a.withColumn("cy", F.explode(F.transform(near, lambda d: (F.floor(F.col("lat_a") / step) + d).cast("int"))))
     a = a.withColumn("cx", F.explode(F.transform(near, lambda d: (F.floor(F.col("lng_a") / width(F.col("band"))) + d).cast("int"))))
-    a = a.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    pairs = a.join(s, [*PROFILE, "band", "cy", "cx", "salt"]).withColumn("distance_km", haversine_km(F.col("lat_a"), F.col("lng_a"), F.col("lat_s"), F.col("lng_s")))
+    pairs = a.join(s, [*PROFILE, "band", "cy", "cx"]).withColumn("distance_km", haversine_km(F.col("lat_a"), F.col("lng_a"), F.col("lat_s"), F.col("lng_s")))
     rank = F.row_number().over(W.partitionBy("listing_id").orderBy("distance_km", "sold_id"))
     return pairs.where(F.col("distance_km") < radius_km).withColumn("rank", rank).where(F.col("rank") <= most).select("listing_id", "sold_id", "distance_km", "rank")
 

@@ -5,9 +5,8 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..functions.expressions import window_start
+from ..functions.expressions import geo_level, window_start
 from ..operators import diff, merge, metrics
 from ..operators.areas import explode_areas
 
@@ -33,8 +32,4 @@ def run(sold: DataFrame, as_of: dt.datetime, valid: DataFrame | None = None, pre
     long = metrics.long_series(series(sold, as_of, valid))
     if previous is None:
         return {"series": long, "changed": long}
-    changed = None
-    for m in metrics.SOLD_METRICS:
-        part = diff.series_delta(previous.where(F.col("metric") == m), long.where(F.col("metric") == m))
-        changed = part if changed is None else changed.unionByName(part)
-    return {"series": long, "changed": changed}
+    return {"series": long, "changed": diff.series_delta(previous, long, by=["metric"]).withColumn("geo_level", geo_level())}

@@ -41,7 +41,7 @@ _CTES = {
     "live": "SELECT *, unnest(string_split(guid, ',')) AS geog_id FROM active",
     "windowed": "SELECT * FROM exploded WHERE lastTransition >= TIMESTAMP '1996-08-01' AND lastTransition < TIMESTAMP '2001-08-15'",
     "leveled": "SELECT * EXCLUDE (propertyType), unnest(list_filter(['ALL', propertyType], lambda k: k IS NOT NULL)) AS propertyType FROM windowed",
-    "snapshots": "SELECT last_day(addedOn::DATE) AS year_month, geog_id, propertyType, count(*) AS current_count FROM live WHERE addedOn >= TIMESTAMP '1997-01-01' AND propertyType IS NOT NULL AND geog_id LIKE 'g40%' GROUP BY ALL",
+    "snapshots": "SELECT last_day(addedOn::DATE) AS year_month, geog_id, propertyType, count(*) AS current_count FROM live WHERE propertyType IS NOT NULL GROUP BY ALL",
 }
 
 
@@ -121,9 +121,10 @@ def _(spark, d):
     return merge.not_expired(S.sold(spark, d), AS_OF - dt.timedelta(days=365)).select("_id")
 
 
-@query("p16_from_first_snapshot", "active live snapshots sold", "SELECT _id FROM sold WHERE strftime(lastTransition, '%Y-%m') >= (SELECT strftime(min(year_month), '%Y-%m') FROM snapshots)")
+@query("p16_from_first_snapshot", "active live snapshots sold", "SELECT _id FROM sold WHERE strftime(lastTransition, '%Y-%m') >= (SELECT strftime(min(year_month), '%Y-%m') FROM snapshots WHERE year_month >= DATE '1997-01-01')")
 def _(spark, d):
-    return metrics.from_first_snapshot(S.sold(spark, d), _snapshots(spark, d)).select("_id")
+    """A history of snapshots that begins in 1997."""
+    return metrics.from_first_snapshot(S.sold(spark, d), _snapshots(spark, d).where("year_month >= date '1997-01-01'")).select("_id")
 
 
 @query("n15_guid_clean", "sold", "SELECT count(*) AS n, count(nullif(nullif(guid, 'None'), '')) AS with_guid FROM sold")
@@ -301,7 +302,7 @@ def _(spark, d):
 
 
 def _snapshots(spark, d):
-    rows = _live(spark, d).where((F.col("addedOn") >= _time("1997-01-01")) & F.col("propertyType").isNotNull() & F.col("geog_id").startswith("g40"))
+    rows = _live(spark, d).where("propertyType is not null")
     return rows.groupBy(F.last_day("addedOn").alias("year_month"), "geog_id", "propertyType").agg(F.count(F.lit(1)).alias("current_count"))
 
 
@@ -459,16 +460,16 @@ def _documents(spark, d):
 
     empty = spark.createDataFrame([], MARKET_TRENDS)
     long = sold_series.series(S.sold(spark, d), AS_OF, wanted=["sold_listing_count"]).withColumnRenamed("sold_listing_count", "value")
-    return upsert.replace_series(empty, metrics.series_arrays(long.where(F.col("geog_id").startswith("g40"))), "sold_listing_count", _time("2001-08-15"))
+    return upsert.replace_series(empty, metrics.series_arrays(long), "sold_listing_count", _time("2001-08-15"))
 
 
-@query("k01_replace_series", "sold exploded windowed leveled", "SELECT geog_id, propertyType, 40 AS geo_level, count(DISTINCT strftime(lastTransition, '%Y-%m')) AS months FROM leveled WHERE geog_id LIKE 'g40%' GROUP BY ALL")
+@query("k01_replace_series", "sold exploded windowed leveled", "SELECT geog_id, propertyType, CAST(geog_id[2:3] AS INT) AS geo_level, count(DISTINCT strftime(lastTransition, '%Y-%m')) AS months FROM leveled GROUP BY ALL")
 def _(spark, d):
     return _documents(spark, d).select("geog_id", "propertyType", "geo_level", F.size("metrics.sold_listing_count").cast("long").alias("months"))
 
 
 @query("k02_month_upsert", "active live sold exploded windowed leveled", """SELECT geog_id, propertyType, coalesce(s.n, 0) AS sold_months, CASE WHEN m.v IS NULL THEN '' ELSE '1998-06:7,1998-07:' || m.v END AS listings FROM
-    (SELECT geog_id, propertyType, count(DISTINCT strftime(lastTransition, '%Y-%m')) AS n FROM leveled WHERE geog_id LIKE 'g40%' GROUP BY ALL) s FULL JOIN
+    (SELECT geog_id, propertyType, count(DISTINCT strftime(lastTransition, '%Y-%m')) AS n FROM leveled GROUP BY ALL) s FULL JOIN
     (SELECT geog_id, t AS propertyType, count(*) FILTER (WHERE strftime(addedOn, '%Y-%m') = '1998-07') AS v FROM (SELECT *, unnest(list_filter(['ALL', propertyType], lambda x: x IS NOT NULL)) AS t FROM live WHERE NOT is_deleted) GROUP BY 1, 2) m USING (geog_id, propertyType)""")
 def _(spark, d):
     value = asking.last_month(S.active(spark, d), ACTIVE_AS_OF).select("geog_id", "propertyType", F.col("new_listings_count").alias("value"))
@@ -479,7 +480,7 @@ def _(spark, d):
     return docs.select("geog_id", "propertyType", F.greatest(F.size("metrics.sold_listing_count"), F.lit(0)).cast("long").alias("sold_months"), F.coalesce(text, F.lit("")).alias("listings"))
 
 
-@query("k05_replace_existing", "sold exploded windowed leveled active live snapshots", "SELECT geog_id, propertyType, count(DISTINCT strftime(lastTransition, '%Y-%m')) AS months FROM leveled WHERE geog_id LIKE 'g40%' GROUP BY ALL")
+@query("k05_replace_existing", "sold exploded windowed leveled active live snapshots", "SELECT geog_id, propertyType, count(DISTINCT strftime(lastTransition, '%Y-%m')) AS months FROM leveled GROUP BY ALL")
 def _(spark, d):
     rates = metrics.series_arrays(absorption.rates(S.sold(spark, d), _snapshots(spark, d)), "absorption_rate", "absorption_rate")
     made = rates.union(rates.select(F.lit("g40_none"), "propertyType", "absorption_rate"))

@@ -57,11 +57,14 @@ def deleted_listings(rows: DataFrame, start: dt.datetime | None = None, end: dt.
     return rows.where(F.col("timestamp") < time_literal(end)) if end is not None else rows
 
 
-def search(rows: DataFrame, filters: dict | None = None, columns: list[str] | None = None, size: int | None = None, _id: str | None = None) -> DataFrame:
-    """Ad-hoc search: an id alone, or equal values of all filters (a list: any of them), at most `size` rows."""
+def search(rows: DataFrame, filters: dict | None = None, columns: list[str] | None = None, size: int | None = None, _id: str | None = None, start: dt.datetime | None = None, end: dt.datetime | None = None, date: str = "lastTransition", text: dict[str, str] | None = None) -> DataFrame:
+    """Ad-hoc search: an id alone; or equal values of all filters (a list: any of them), a date within both bounds, and
+    columns that hold a text, whatever its case; at most `size` rows."""
     if _id is not None:
         return _chosen(rows.where(F.col("_id") == _id), columns)
     tests: list[Column] = [F.col(k).isin(v) if isinstance(v, list) else F.col(k) == v for k, v in (filters or {}).items()]
+    tests += [F.contains(F.lower(k), F.lower(F.lit(v))) for k, v in (text or {}).items()]
+    tests += [F.col(date) >= time_literal(start)] * (start is not None) + [F.col(date) <= time_literal(end)] * (end is not None)
     out = _chosen(rows.where(reduce(Column.__and__, tests)) if tests else rows, columns)
     return out if size is None else out.limit(size)
 
