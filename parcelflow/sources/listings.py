@@ -64,7 +64,8 @@ def search(rows: DataFrame, filters: dict | None = None, columns: list[str] | No
         return _chosen(rows.where(F.col("_id") == _id), columns)
     tests: list[Column] = [F.col(k).isin(v) if isinstance(v, list) else F.col(k) == v for k, v in (filters or {}).items()]
     tests += [F.contains(F.lower(k), F.lower(F.lit(v))) for k, v in (text or {}).items()]
-    tests += [F.col(date) >= time_literal(start)] * (start is not None) + [F.col(date) <= time_literal(end)] * (end is not None)
+    tests += [F.col(date) >= time_literal(start)] if start is not None else []
+    tests += [F.col(date) <= time_literal(end)] if end is not None else []
     out = _chosen(rows.where(reduce(Column.__and__, tests)) if tests else rows, columns)
     return out if size is None else out.limit(size)
 

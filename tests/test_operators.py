@@ -113,7 +113,7 @@ def test_radius_join_equals_brute_force(spark):
     a, s = spark.createDataFrame(active, schema), spark.createDataFrame(sold, schema)
     got = {r["listing_id"]: [c["sold_id"] for c in r["comps"]] for r in comparables.run(a, s)["comparables"].collect()}
     assert got == want and any(len(x) > 3 for x in want.values())
-    assert nearby.comparables(a, s, salts=1).count() == sum(map(len, want.values()))
+    assert nearby.comparables(a, s).count() == sum(map(len, want.values()))
 
 
 def square(y, x, size=1.0):
