@@ -155,7 +155,7 @@ def _document_frequencies(sample: DataFrame) -> DataFrame:
                 for d in range(j - i):
                     own = {raw[a:b] for a, b in zip(w.start[w.first[d] : w.first[d + 1]].tolist(), w.end[w.first[d] : w.first[d + 1]].tolist())}
                     here = counts[int(toxic[i + d] == 1)]
-                    here.update((x, False) for x in own if len(x) <= 32)
+                    here.update((x, False) for x in own)
                     here.update({(x[:n], True) for x in own for n in STEMS if len(x) > n})
             keys = list(counts[0].keys() | counts[1].keys())
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in keys], pa.binary()), pa.array([s for _, s in keys], pa.bool_()), pa.array([counts[1][k] for k in keys], pa.int64()), pa.array([counts[0][k] for k in keys], pa.int64())], ["feature", "stem", "toxic", "other"])
@@ -206,7 +206,8 @@ def train(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0, doc
             x = [features(c).tolist() for c in matcher.documents(*buffers(batch.column(1)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "toxic", "x"])
 
-    rows = sorted(tuple(r) for r in sample.mapInArrow(run, "doc_id long, toxic int, x array<double>").collect())  # bounded by `documents`
+    found = sample.mapInArrow(run, "doc_id long, toxic int, x array<double>").groupBy("doc_id").agg(F.min(F.struct("toxic", "x")).alias("r"))
+    rows = sorted((r["doc_id"], r["r"]["toxic"], r["r"]["x"]) for r in found.collect())  # one row an id, so bounded by `documents`
     y = np.array([t == 1 for _, t, _ in rows], float)
     if not len(y) or y.min() == y.max():
         return matcher, DEFAULT_WEIGHTS
