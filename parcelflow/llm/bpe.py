@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import id_text
+from .common import gives_back, id_text
 
 #: Bounds of the caches of one worker: transducer states, pairs of tokens, and whole pre-tokens. A full cache restarts.
 MAX_STATES, MAX_PAIRS, MAX_WORDS = 450_000, 800_000, 700_000
@@ -256,4 +256,4 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None, with_ids: b
             cols = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(text_sha)]
             yield pa.RecordBatch.from_arrays(cols + [pa.array(all_ids, pa.list_(pa.int64()))] * with_ids, schema=schema)
 
-    return id_text(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>" * with_ids)
+    return id_text(docs).mapInArrow(gives_back(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>" * with_ids)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,23 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def gives_back(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """work for mapInArrow; at the end of a task, memory that it has freed returns to the system. Python workers serve one
+    task after another, and idle ones would otherwise hold as much as their largest task took."""
+
+    @functools.wraps(work)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or, in local mode only, a temporary one."""
     told = spark.conf.get("spark.checkpoint.dir", None)
@@ -124,7 +143,7 @@ def key_filter(keys: DataFrame, n: int | None = None):
             at = np.unique(np.concatenate(_filter_places(batch.column(0).to_numpy(zero_copy_only=False), size)))
             yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))], ["word", "bits"])
 
-    found = keys.select(col).where(F.col(col).isNotNull()).mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    found = keys.select(col).where(F.col(col).isNotNull()).mapInArrow(gives_back(bits), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
     found = found.toArrow()  # at most MOST_FILTER_BITS / 64 rows
     table = np.zeros(size // 64, np.uint64)
     if found.num_rows:
@@ -152,7 +171,7 @@ def maybe_in(df: DataFrame, col: str, keys: DataFrame, name: str = "maybe", n: i
             ok = test(pc.fill_null(batch.column(at), 0).to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ok)], [*batch.schema.names, name])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.BooleanType())]))
+    return df.mapInArrow(gives_back(run), T.StructType([*df.schema.fields, T.StructField(name, T.BooleanType())]))
 
 
 def drop_rows(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

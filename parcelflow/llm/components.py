@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_table
+from .common import gives_back, shared_table
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -47,7 +47,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """
     n = links.count()
     rows = links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a <> b")
-    rows = rows.mapInArrow(_forest, "a long, b long").distinct()
+    rows = rows.mapInArrow(gives_back(_forest), "a long, b long").distinct()
     edges = shared_table(rows.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links", n)
     seen = None
 

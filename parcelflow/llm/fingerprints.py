@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, maybe_in, shared_table
+from .common import bounded_batches, gives_back, maybe_in, shared_table
 
 RATE, FRAME, HOP = 8000, 512, 128
 LOW_HZ, HIGH_HZ = 60.0, 3600.0
@@ -142,7 +142,7 @@ def fingerprint_media(media: DataFrame, id_col: str = "media_id", content_col: s
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(np.diff(ends).astype(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32())), pa.array(digest, pa.string())], ["media_id", "n_samples", "n_items", "items", "fingerprint_sha256"])
 
     rows = bounded_batches(media).select(F.col(id_col).cast("long").alias("media_id"), F.col(content_col).cast("binary").alias("content"))
-    return rows.mapInArrow(run, "media_id long, n_samples long, n_items long, items array<int>, fingerprint_sha256 string")
+    return rows.mapInArrow(gives_back(run), "media_id long, n_samples long, n_items long, items array<int>, fingerprint_sha256 string")
 
 
 def run_posts(recordings: DataFrame, run_length: int = RUN) -> DataFrame:
@@ -173,7 +173,7 @@ def run_posts(recordings: DataFrame, run_length: int = RUN) -> DataFrame:
                 [pa.array(key[new].view(np.int64)), batch.column("media_id").take(pa.array(of[new])), pa.array(n[of[new]]), pa.ListArray.from_arrays(ends, pa.array(place.astype(np.int32))), pa.ListArray.from_arrays(ends, before)],
                 ["key", "media_id", "n_items", "places", "befores"])
 
-    return recordings.select("media_id", "items").mapInArrow(run, "key long, media_id long, n_items long, places array<int>, befores array<int>")
+    return recordings.select("media_id", "items").mapInArrow(gives_back(run), "key long, media_id long, n_items long, places array<int>, befores array<int>")
 
 
 def best_alignments(holders: DataFrame, run_length: int = RUN, most_error: float = MOST_ERROR, block: int = BLOCK) -> DataFrame:
@@ -274,7 +274,7 @@ def best_alignments(holders: DataFrame, run_length: int = RUN, most_error: float
         if held:
             yield compare(pa.Table.from_batches(held))
 
-    return dealt.mapInArrow(run, "media_id long, other_id long, votes long, offset int, compared long, bit_error double")
+    return dealt.mapInArrow(gives_back(run), "media_id long, other_id long, votes long, offset int, compared long, bit_error double")
 
 
 def align_recordings(prints: DataFrame, run_length: int = RUN, most_error: float = MOST_ERROR, block: int = BLOCK) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, fold, free_names
+from .common import bounded_batches, fold, free_names, gives_back
 from .textbytes import buffers
 
 #: The sample: at most TRAIN_DOCUMENTS labelled documents (by a hash of the id), and of each WINDOWS windows, whose places
@@ -221,7 +221,7 @@ def _predicted(docs: DataFrame, parts: int, held: int) -> tuple[DataFrame, list[
                     name[i], score[i], none[i] = langs[best], min(1.0, float(of_langs[best] / max(of_langs.sum(), 1e-30))), float(p[i, -1])
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(name, pa.string()), pa.array(score, pa.float64()), pa.array(none, pa.float64())], [*batch.schema.names[:-1], *names])
 
-    found = rows.mapInArrow(run, T.StructType([*docs.schema.fields, *map(T.StructField, names, (T.StringType(), T.DoubleType(), T.DoubleType()))]))
+    found = rows.mapInArrow(gives_back(run), T.StructType([*docs.schema.fields, *map(T.StructField, names, (T.StringType(), T.DoubleType(), T.DoubleType()))]))
     return found, names, net is not None
 
 

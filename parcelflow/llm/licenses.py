@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, shared_table
+from .common import bounded_batches, gives_back, shared_table
 from .textbytes import ALNUM, U64, buffers, key_of, slices, words
 
 BLOCK = 80
@@ -88,7 +88,7 @@ def _word_counts(rows: DataFrame, vocabulary: list[str]) -> dict[str, int]:
                 n += np.bincount(order[at[keys[order][at] == w.key]], minlength=len(keys))
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(keys))), pa.array(n)], ["word", "n"])
 
-    found = rows.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()  # a row a word
+    found = rows.select("text").mapInArrow(gives_back(run), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()  # a row a word
     n = {r["word"]: r["n"] for r in found}
     return {w: n.get(i, 0) for i, w in enumerate(vocabulary)}
 
@@ -154,7 +154,7 @@ def _scan(rows: DataFrame, ranked: list[str], prefix: set[int], phrases: dict[st
                 [batch.column("doc_id"), batch.column("row"), *(pa.array(x, pa.int64()) for x in (n_words, n_base, first, last)), pa.array(labels, pa.list_(pa.string())), pa.array(blocks, pa.list_(pa.list_(pa.int32())))],
                 ["doc_id", "row", "n_words", "n_base", "first_word", "last_word", "base", "blocks"])
 
-    return rows.mapInArrow(run, "doc_id long, row long, n_words long, n_base long, first_word long, last_word long, base array<string>, blocks array<array<int>>")
+    return rows.mapInArrow(gives_back(run), "doc_id long, row long, n_words long, n_base long, first_word long, last_word long, base array<string>, blocks array<array<int>>")
 
 
 def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD, block: int = BLOCK, phrases: dict[str, str] | None = None, deciding: Deciding | None = None) -> DataFrame:

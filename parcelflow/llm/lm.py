@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, id_text, shared_table
+from .common import fold, gives_back, id_text, shared_table
 from .textbytes import NOT_SPACE, U64, buffers, mix, slices, words
 
 #: Text of a chunk, and keys that a bucket of counts expects.
@@ -87,7 +87,7 @@ def chunk_table(docs: DataFrame, parts: int, held: int, chunk_bytes: int = CHUNK
         if ids:
             yield out()
 
-    return rows.mapInArrow(run, "chunk long, n_tokens long, n_train long, n_train_docs long, ids array<long>, held array<boolean>, sizes binary, vocabulary binary, tokens binary")
+    return rows.mapInArrow(gives_back(run), "chunk long, n_tokens long, n_train long, n_train_docs long, ids array<long>, held array<boolean>, sizes binary, vocabulary binary, tokens binary")
 
 
 class Chunk:
@@ -130,7 +130,7 @@ def requests(chunks: DataFrame, bits: int, buckets: int) -> DataFrame:
                         a, z = cuts[b], cuts[b + 1]
                         yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([b], pa.int32()), pa.array([row["chunk"]]), pa.array([pack_sorted(keys[a:z])], pa.binary()), pa.array([pack(n[a:z])], pa.binary())], ["kind", "bucket", "chunk", "keys", "counts"])
 
-    return chunks.mapInArrow(run, "kind int, bucket int, chunk long, keys binary, counts binary")
+    return chunks.mapInArrow(gives_back(run), "kind int, bucket int, chunk long, keys binary, counts binary")
 
 
 def answers(asked: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, drop_rows, id_text, key_filter, maybe_in, row_hash, shared_table
+from .common import bounded_batches, drop_rows, gives_back, id_text, key_filter, maybe_in, row_hash, shared_table
 from .components import connected_components
 from .textbytes import NOT_SPACE, U64, buffers, mix, slices, words
 
@@ -140,7 +140,7 @@ def sketch(docs: DataFrame, threshold: float, size: int = SHINGLE) -> DataFrame:
                  pa.array([r.tobytes() for r in byte], pa.binary()), pa.ListArray.from_arrays(pa.array(at), pa.array(key[some].ravel()))], schema=schema)
 
     of_row = id_text(docs).select("doc_id", row_hash("doc_id", "text").alias("row"), "text")
-    return of_row.mapInArrow(run, "doc_id long, row long, n_shingles long, k1 long, k2 long, signature binary, bands array<long>")
+    return of_row.mapInArrow(gives_back(run), "doc_id long, row long, n_shingles long, k1 long, k2 long, signature binary, bands array<long>")
 
 
 def banded(classes: DataFrame, keys: DataFrame) -> DataFrame:
@@ -159,7 +159,7 @@ def banded(classes: DataFrame, keys: DataFrame) -> DataFrame:
             band = ok - (np.cumsum(n) - n)[of]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of)), pa.array(band.astype(np.int32)), pa.array(key[ok])], ["node", "band", "key"])
 
-    return bounded_batches(classes).select("node", "bands").mapInArrow(run, "node long, band int, key long")
+    return bounded_batches(classes).select("node", "bands").mapInArrow(gives_back(run), "node long, band int, key long")
 
 
 def prune(pairs: DataFrame, signatures: DataFrame, threshold: float) -> DataFrame:
@@ -175,7 +175,7 @@ def prune(pairs: DataFrame, signatures: DataFrame, threshold: float) -> DataFram
 
     s = signatures.select("node", "signature")
     both = pairs.join(s.toDF("b", "sig_b"), "b").join(s.toDF("a", "sig_a"), "a")
-    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(gives_back(run), "a long, b long")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, percent: int, size: int = SHINGLE) -> DataFrame:
@@ -193,7 +193,7 @@ def verify(pairs: DataFrame, texts: DataFrame, percent: int, size: int = SHINGLE
                 yield part.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     both = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(gives_back(run), "a long, b long")
 
 
 def blocks(members: DataFrame, block: int) -> DataFrame:
@@ -276,7 +276,7 @@ def across(members: DataFrame, percent: int, size: int = SHINGLE, block: int = B
         if held:
             yield compare(pa.Table.from_batches(held))
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(gives_back(run), "a long, b long").distinct()
 
 
 def _near_rows(docs: DataFrame, percent: int, size: int) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import id_text, shared_table
+from .common import gives_back, id_text, shared_table
 
 SIZE = 1024
 END_ID = 2
@@ -61,7 +61,7 @@ def cut_pieces(docs: DataFrame, vocabulary: str, size: int = SIZE, end_id: int =
                         col.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, schema.types)], schema=schema)
 
-    return id_text(docs).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return id_text(docs).mapInArrow(gives_back(cut), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def plan_best_fit(histogram: dict[int, int], size: int) -> list[tuple[int, int, int, int, int, int]]:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, free_names, key_filter, maybe_in, row_hash, shared_table
+from .common import bounded_batches, free_names, gives_back, key_filter, maybe_in, row_hash, shared_table
 from .suffixes import common_prefixes, suffix_array
 from .textbytes import BYTE_KEYS, U64, buffers, mix, slices
 
@@ -123,7 +123,7 @@ def anchor_table(rows: DataFrame, length: int, gram: int) -> DataFrame:
                     [batch.column("doc_id").take(take), batch.column("row").take(take), pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int32)), pa.array(key), pa.array(_context_keys(data, at, windows, place, length))],
                     ["doc_id", "row", "start", "windows", "key", "context"])
 
-    return rows.mapInArrow(run, "doc_id long, row long, start int, windows int, key long, context long")
+    return rows.mapInArrow(gives_back(run), "doc_id long, row long, start int, windows int, key long, context long")
 
 
 def context_bytes(rows: DataFrame, needed: DataFrame, length: int, gram: int) -> DataFrame:
@@ -142,7 +142,7 @@ def context_bytes(rows: DataFrame, needed: DataFrame, length: int, gram: int) ->
                     [pa.array(key[once]), pa.array(context[once]), pa.array(windows[once].astype(np.int32)), pa.array([raw[a : a + n + length - 1] for a, n in zip(at[once].tolist(), windows[once].tolist())], pa.binary())],
                     ["key", "context", "windows", "bytes"])
 
-    return rows.select("text").mapInArrow(run, "key long, context long, windows int, bytes binary")
+    return rows.select("text").mapInArrow(gives_back(run), "key long, context long, windows int, bytes binary")
 
 
 def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -186,7 +186,7 @@ def shard_repeats(contents: DataFrame, shards: int, length: int) -> DataFrame:
 
     dealt = contents.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
     dealt = dealt.repartition(max(1, -(-shards // SHARDS_A_TASK)), "shard").sortWithinPartitions("shard")
-    return dealt.mapInArrow(run, "key long, context long, low int, high int")
+    return dealt.mapInArrow(gives_back(run), "key long, context long, low int, high int")
 
 
 def window_repeats(contents: DataFrame, length: int) -> DataFrame:
@@ -198,7 +198,7 @@ def window_repeats(contents: DataFrame, length: int) -> DataFrame:
                 digests = [hashlib.blake2b(text[i : i + length], digest_size=16).digest() for i in range(n)]
                 yield pa.RecordBatch.from_arrays([pa.array([key] * n, pa.int64()), pa.array([context] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(digests, pa.binary())], ["key", "context", "low", "digest"])
 
-    windows = contents.mapInArrow(run, "key long, context long, low int, digest binary")
+    windows = contents.mapInArrow(gives_back(run), "key long, context long, low int, digest binary")
     several = windows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return windows.join(several, "digest", "left_semi").select("key", "context", "low", F.col("low").alias("high"))
 
@@ -292,7 +292,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     touched, whole = _with_spans(rows, spans, "doc_id", "text")
     text, none = F.coalesce("text", F.lit("")), F.lit(0).cast("long")
     whole = whole.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), F.sha2(text, 256).alias("kept_sha256"))
-    return touched.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").union(whole)
+    return touched.mapInArrow(gives_back(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").union(whole)
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
@@ -313,4 +313,4 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays(cols, batch.schema.names[:-1])
 
     touched, whole = _with_spans(docs, spans, id_col, text_col)
-    return touched.mapInArrow(run, docs.schema).union(whole)
+    return touched.mapInArrow(gives_back(run), docs.schema).union(whole)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, fold
+from .common import bounded_batches, fold, gives_back
 from .textbytes import ALNUM, U64, buffers, key_of, slices, words
 
 #: The sample: at most so many labelled documents (by a hash of the id) teach the lexicon and the weights.
@@ -160,7 +160,7 @@ def _document_frequencies(sample: DataFrame) -> DataFrame:
             keys = list(counts[0].keys() | counts[1].keys())
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in keys], pa.binary()), pa.array([s for _, s in keys], pa.bool_()), pa.array([counts[1][k] for k in keys], pa.int64()), pa.array([counts[0][k] for k in keys], pa.int64())], ["feature", "stem", "toxic", "other"])
 
-    found = sample.select("text", "toxic").mapInArrow(run, "feature binary, stem boolean, toxic long, other long")
+    found = sample.select("text", "toxic").mapInArrow(gives_back(run), "feature binary, stem boolean, toxic long, other long")
     return found.groupBy("feature", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).where(F.col("toxic") >= LEAST_DOCUMENTS)
 
 
@@ -206,7 +206,7 @@ def train(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0, doc
             x = [features(c).tolist() for c in matcher.documents(*buffers(batch.column(1)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "toxic", "x"])
 
-    found = sample.mapInArrow(run, "doc_id long, toxic int, x array<double>").groupBy("doc_id").agg(F.min(F.struct("toxic", "x")).alias("r"))
+    found = sample.mapInArrow(gives_back(run), "doc_id long, toxic int, x array<double>").groupBy("doc_id").agg(F.min(F.struct("toxic", "x")).alias("r"))
     rows = sorted((r["doc_id"], r["r"]["toxic"], r["r"]["x"]) for r in found.collect())  # one row an id, so bounded by `documents`
     y = np.array([t == 1 for _, t, _ in rows], float)
     if not len(y) or y.min() == y.max():
@@ -234,4 +234,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int
                 n.append(sum(found.values()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score, pa.float64()), pa.array([int(s >= 0.5) for s in score], pa.int32()), pa.array(n, pa.int64())], ["doc_id", "held_out", "score", "predicted", "n_events"])
 
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, n_events long")
+    return rows.mapInArrow(gives_back(run), "doc_id long, held_out boolean, score double, predicted int, n_events long")
