@@ -51,6 +51,12 @@ def gives_back(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
     return run
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: pa.Schema) -> DataFrame:
+    """A small table of the driver's rows, by way of Arrow: plain rows would start Python workers of their own to be read."""
+    columns = [pa.array([row[k] for row in rows], kind) for k, kind in enumerate(schema.types)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=schema))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or, in local mode only, a temporary one."""
     told = spark.conf.get("spark.checkpoint.dir", None)

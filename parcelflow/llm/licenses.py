@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, gives_back, shared_table
+from .common import bounded_batches, gives_back, local_table, shared_table
 from .textbytes import ALNUM, U64, buffers, key_of, slices, words
 
 BLOCK = 80
@@ -184,8 +184,9 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
 
     scanned = shared_table(_scan(rows, ranked, {w for w, _, _ in index}, PHRASES if phrases is None else phrases, block, [x for _, x in marks]), "scanned")
     spark = docs.sparkSession
-    by_word = spark.createDataFrame(index, "word int, template int, place_t int")
-    of_template = spark.createDataFrame(sets, "template int, label string, own array<int>, needed int, deciding array<int>")
+    ints = pa.list_(pa.int32())
+    by_word = local_table(spark, index, pa.schema([("word", pa.int32()), ("template", pa.int32()), ("place_t", pa.int32())]))
+    of_template = local_table(spark, sets, pa.schema([("template", pa.int32()), ("label", pa.string()), ("own", ints), ("needed", pa.int32()), ("deciding", ints)]))
     blocks = scanned.where(F.size("blocks") > 0).select("doc_id", "row", F.explode("blocks").alias("words"))
     probes = blocks.select("doc_id", "row", "words", F.posexplode("words").alias("place", "word"))
     pairs = probes.join(F.broadcast(by_word), "word").join(F.broadcast(of_template), "template")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import gives_back, id_text, shared_table
+from .common import gives_back, id_text, local_table, shared_table
 
 SIZE = 1024
 END_ID = 2
@@ -112,7 +112,7 @@ def plan_best_fit(histogram: dict[int, int], size: int) -> list[tuple[int, int,
 def ranked(pieces: DataFrame, histogram: dict[int, int], together: int = RANKED_TOGETHER) -> DataFrame:
     """pieces with rank: 0, 1, ... within each length, counted in salted groups of about `together` rows."""
     spark = pieces.sparkSession
-    salts = spark.createDataFrame([(k, -(-n // together)) for k, n in histogram.items()], "length long, salts long")
+    salts = local_table(spark, [(k, -(-n // together)) for k, n in histogram.items()], pa.schema([("length", pa.int64()), ("salts", pa.int64())]))
     salted = pieces.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.col("salts")))
     before = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
     before = before.withColumn("before", F.sum("n").over(W.partitionBy("length").orderBy("salt")) - F.col("n")).drop("n")
@@ -135,7 +135,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, size: int = SIZE, end_i
     pieces = shared_table(cut_pieces(docs, vocabulary, size, end_id), "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `size` rows
     runs = plan_best_fit(histogram, size)
-    plan = spark.createDataFrame(runs, "length long, low long, high long, first long, each long, place long")
+    plan = local_table(spark, runs, pa.schema([(name, pa.int64()) for name in ("length", "low", "high", "first", "each", "place")]))
     at = F.col("rank") - F.col("low")
     out = ranked(pieces, histogram).join(F.broadcast(plan), "length").where((F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")))
     return out.select(

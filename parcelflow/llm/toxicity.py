@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, fold, gives_back
+from .common import bounded_batches, fold, gives_back, local_table
 from .textbytes import ALNUM, U64, buffers, key_of, slices, words
 
 #: The sample: at most so many labelled documents (by a hash of the id) teach the lexicon and the weights.
@@ -196,7 +196,7 @@ DEFAULT_WEIGHTS = np.append(np.full(len(EVENTS), 3.0), -2.0)
 def train(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0, documents: int = TRAIN_DOCUMENTS) -> tuple[Matcher, np.ndarray]:
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold("doc_id", parts) != held))
     picked = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents)
-    picked = docs.sparkSession.createDataFrame([tuple(r) for r in picked.collect()], "doc_id long, toxic int")  # bounded by `documents`
+    picked = local_table(docs.sparkSession, picked.collect(), pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32())]))  # bounded by `documents`
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
     sizes = {r["toxic"]: r["n"] for r in picked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     matcher = Matcher(*learn_lexicon(sample, sizes.get(1, 0), sizes.get(0, 0)))
