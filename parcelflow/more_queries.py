@@ -313,3 +313,38 @@ def _(spark, d):
     """The earlier run lacks a month, so all of the later one counts as changed."""
     long = sold_series.series(S.sold(spark, d), AS_OF, wanted=["sold_listing_count"]).withColumnRenamed("sold_listing_count", "value")
     return diff.series_delta(long.where("month <> '1999-03'"), long)
+
+
+_RATES_OF_ONE = _RATES_SQL.replace("SELECT geog_id, propertyType, month, sold_count", "SELECT month, sold_count").replace(", round(current_count / nullif(sold_count, 0), 6) AS months_of_inventory", "")
+
+
+@query("r4_absorption_rates", "sold exploded active live snapshots", _RATES_OF_ONE + " WHERE geog_id = 'g40_r1' AND propertyType = 'CONDO'")
+def _(spark, d):
+    rates = absorption.rates(S.sold(spark, d), _snapshots(spark, d))
+    return lookup.absorption_rates(rates, "g40_r1", "CONDO").withColumn("absorption_rate", F.round("absorption_rate", 6))
+
+
+@query("r2_last_month", "active live", f"SELECT '1998-07' AS month, geog_id, propertyType, round(m, 6) AS median_price, v AS new_listings_count FROM {_LAST} WHERE geog_id = 'g40_r1' AND propertyType = 'ALL'")
+def _(spark, d):
+    now = _last(spark, d).select(F.lit("1998-07").alias("month"), "geog_id", "propertyType", F.round("median_price", 6).alias("median_price"), "new_listings_count")
+    earlier = now.withColumns({"month": F.lit("1998-06"), "new_listings_count": F.col("new_listings_count") + 1})
+    return lookup.last_month(earlier.union(now), "g40_r1")
+
+
+@query("k12_backfill", "active live snapshots", """SELECT geog_id, propertyType, string_agg(month || ':' || n, ',' ORDER BY month) AS series FROM (SELECT geog_id, t AS propertyType, strftime(year_month, '%Y-%m') AS month, sum(current_count)::BIGINT AS n
+    FROM (SELECT *, unnest(['ALL', propertyType]) AS t FROM snapshots) GROUP BY ALL) GROUP BY ALL UNION ALL SELECT 'g40_kept', 'ALL', '1998-06:3'""")
+def _(spark, d):
+    """Documents of all areas with an old series, which goes, and of one area without snapshots, which keeps its own."""
+    long = _snapshots(spark, d).select("geog_id", "propertyType", F.date_format("year_month", "yyyy-MM").alias("month"), F.col("current_count").alias("value"))
+    keys = _values(spark, [("g40_kept", "ALL")], "geog_id string, propertyType string").union(long.select("geog_id", "propertyType").distinct())
+    docs = upsert.upsert_month(spark.createDataFrame([], MARKET_TRENDS), keys.withColumn("value", F.lit(3).cast("long")), "last_mth_new_listings", F.lit("1998-06"), _time("1998-08-01"))
+    docs = upsert.backfill(docs, long, "last_mth_new_listings", _time("1998-08-02"))
+    return docs.select("geog_id", "propertyType", F.array_join(F.transform("metrics.last_mth_new_listings", lambda x: F.concat_ws(":", x["month"], x["value"].cast("string"))), ",").alias("series"))
+
+
+@query("g02_containing_guid", None, """SELECT _id, string_agg(geog_id, ',' ORDER BY geog_id) AS guid FROM (SELECT s_suppkey::VARCHAR AS _id, 'g' || n_nationkey AS geog_id FROM (SELECT s_suppkey, s_suppkey % 41 / 10.0 + 0.013 AS lat, s_suppkey % 271 / 10.0 + 0.017 AS lng FROM supplier) JOIN nation ON
+    4 * (lng - n_nationkey) - lat >= 0 AND -3 * (lng - n_nationkey - 1) - 2 * (lat - 4) >= 0 AND -(lng - n_nationkey) + 3 * lat >= 0) GROUP BY 1""")
+def _(spark, d):
+    k = F.col("s_suppkey")
+    points = S.table(spark, d, "supplier").select(k.cast("string").alias("_id"), (k % 41 / 10 + 0.013).cast("double").alias("lat"), (k % 271 / 10 + 0.017).cast("double").alias("lng"))
+    return areas.containing_guid(points, _triangles(spark, d))

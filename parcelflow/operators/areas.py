@@ -49,6 +49,13 @@ def points_in_areas(points: DataFrame, geo: DataFrame, key: str = "_id", touchin
     return places.join(small(areas), ["cy", "cx"]).where(contains_point(F.col("rings"), F.col("__lat"), F.col("__lng"), touching)).select(key, "geog_id", "level")
 
 
+def containing_guid(points: DataFrame, geo: DataFrame, key: str = "_id") -> DataFrame:
+    """(key, guid): the ids of all areas that contain a point, fine to coarse and by id within a level, joined by commas.
+    Points in no area are absent."""
+    found = points_in_areas(points, geo, key).groupBy(key).agg(F.array_sort(F.collect_set(F.struct("level", "geog_id"))).alias("holds"))
+    return found.select(key, F.array_join(F.col("holds.geog_id"), ",").alias("guid"))
+
+
 def assign_guids(listings: DataFrame, geo: DataFrame, overlaps: DataFrame | None = None, key: str = "_id", cutoff=None) -> DataFrame:
     """listings with guid filled where it was null: area ids, fine to coarse, of the first area by id on each level that
     holds the point. Under a level that matched, only children of the match count; overlapping areas of a match that

@@ -27,6 +27,19 @@ def trend(documents: DataFrame, name: str, geog_id: str, kind: str | None = None
     return rows.select(F.explode(F.col("metrics")[name]).alias("x")).select("x.month", "x.value").orderBy("month")
 
 
+def absorption_rates(rates: DataFrame, geog_id: str, kind: str | None = None) -> DataFrame:
+    """(month, sold_count, current_count, absorption_rate) of one area and type, ascending."""
+    rows = rates.where((F.col("geog_id") == geog_id) & (F.col("propertyType") == _type(kind)))
+    return rows.select("month", "sold_count", "current_count", "absorption_rate").orderBy("month")
+
+
+def last_month(archived: DataFrame, geog_id: str, kind: str | None = None) -> DataFrame:
+    """The row of the newest month of archived(month, geog_id, propertyType, ...) for one area and type; none if there is
+    no such row."""
+    rows = archived.where((F.col("geog_id") == geog_id) & (F.col("propertyType") == _type(kind)))
+    return rows.orderBy(F.desc("month"), *(c for c in archived.columns if c != "month")).limit(1)
+
+
 def current_metrics(documents: DataFrame, geog_id: str, kind: str | None = None) -> DataFrame:
     rows = documents.where((F.col("geog_id") == geog_id) & (F.col("propertyType") == _type(kind)))
     return rows.select("metrics.current_metrics.median_asking_price", "metrics.current_metrics.new_listings")

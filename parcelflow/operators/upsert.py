@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import DOUBLE_SERIES, LONG_SERIES
+from ..schemas import ALL_TYPES, DOUBLE_SERIES, LONG_SERIES
+from .metrics import series_arrays
 
 KEYS = ["geog_id", "propertyType"]
 
@@ -51,6 +52,14 @@ def replace_series(target: DataFrame, updates: DataFrame, name: str, stamp: Colu
     return _finish(j, updates, _metrics({name: F.col("__series")}, F.col("metrics")), stamp)
 
 
+def backfill(target: DataFrame, long: DataFrame, name: str, stamp: Column) -> DataFrame:
+    """One series replaced by long(geog_id, propertyType, month, value), with the sum over the types as ALL. Repeated
+    cells are added up, and rows of ALL in long are not read; areas outside long keep what they have."""
+    cells = long.where(F.col("propertyType") != ALL_TYPES).withColumn("propertyType", F.explode(F.array("propertyType", F.lit(ALL_TYPES))))
+    cells = cells.groupBy("geog_id", "propertyType", "month").agg(F.sum("value").alias("value"))
+    return replace_series(target, series_arrays(cells), name, stamp)
+
+
 def upsert_month(target: DataFrame, updates: DataFrame, name: str, month: Column, stamp: Column, remove_null: bool = False) -> DataFrame:
     """One month's value of a series from updates(geog_id, propertyType, value)."""
     j = _joined(target, updates, "full")
