@@ -16,6 +16,7 @@ from .lm import score_documents
 from .minhash import near_components
 from .packing import pack
 from .suffix_dedup import suffix_dedup
+from .token_counts import prefix_counts, token_counts
 from .toxicity import score_toxicity
 
 
@@ -61,9 +62,16 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(prefix_counts(documents(spark, sf_dir)), limit=2048)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_suffix_dedup, op3_chroma_fingerprints, op4_byte_bpe, op5_language_id, op6_deleted_interpolation, op7_toxicity, op8_license_scan, op9_minhash_components, op10_best_fit_packing)
+    for f in (
+        op1_exact_dedup, op2_suffix_dedup, op3_chroma_fingerprints, op4_byte_bpe, op5_language_id, op6_deleted_interpolation,
+        op7_toxicity, op8_license_scan, op9_minhash_components, op10_best_fit_packing, op13_token_counts,
+    )
 }
 
 #: Only where SQL can express the whole result.
