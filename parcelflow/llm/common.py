@@ -180,6 +180,22 @@ def maybe_in(df: DataFrame, col: str, keys: DataFrame, name: str = "maybe", n: i
     return df.mapInArrow(gives_back(run), T.StructType([*df.schema.fields, T.StructField(name, T.BooleanType())]))
 
 
+def maybe_among(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows of df whose key may be among keys (one column, distinct), and few others, in DataFrame functions alone: a bitmap
+    of hashed keys is broadcast, 8 MB at most. All rows if the keys are too many for that; a join must follow."""
+    n = keys.count()
+    if n * FULL_BITS > MOST_FILTER_BITS:
+        return df
+    size = min(MOST_FILTER_BITS, 1 << max(16, (n * KEY_BITS).bit_length()))
+    place, bucket, bitmap = free_names(df, "place", "bucket", "bitmap")
+    at = lambda column: F.pmod(F.xxhash64(column), F.lit(size)) + 1
+    bits = keys.select(at(keys.columns[0]).alias(place)).groupBy(F.bitmap_bucket_number(place).alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias(bitmap))
+    bit = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substr(bitmap, (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    rows = df.withColumn(place, at(key)).withColumn(bucket, F.bitmap_bucket_number(place)).join(F.broadcast(bits), bucket)
+    return rows.where(F.getbit(byte, (bit % 8).cast("int")) == 1).drop(place, bucket, bitmap)
+
+
 def drop_rows(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the rows of gone(doc_id, row), row being row_hash(). Only rows that the filter cannot clear are
     shuffled. docs may have columns of any name."""
