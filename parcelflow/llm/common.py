@@ -118,6 +118,16 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
+def with_plain_names(docs: DataFrame, keep: list[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """work(docs), which returns the columns of docs, done under names that need no quotes: all columns but those of keep are
+    numbered for the time being, so theirs may hold dots, blanks and quotes, or differ from others by case only."""
+    held = {c.lower() for c in keep}
+    plain = [c if c in keep else f"column{k}" for k, c in enumerate(docs.columns)]
+    while held & {c.lower() for c in plain if c not in keep}:
+        plain = [c if c in keep else "_" + c for c in plain]
+    return work(docs.toDF(*plain)).toDF(*docs.columns)
+
+
 def row_hash(id_col: str, text_col: str) -> Column:
     """Tells rows of one id with different texts apart; null text counts as empty."""
     return F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")))

@@ -77,7 +77,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     _, frequent, groups = _groups(docs, id_col, text_col, support)
     groups = shared_table(groups.select("text_sha256", "keep_id"), "groups")
-    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole")
+    whole = F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in docs.columns)).alias("whole")
     text = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), SPACE_RUN, " ")
     rows = docs.select(whole, F.col(id_col).cast("long").alias("doc_id"), F.sha2(text, 256).alias("text_sha256"))
     frequent = frequent.select("text_sha256", F.lit(True).alias("frequent"), F.col("keep_id").alias("hot_id"))

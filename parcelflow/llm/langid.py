@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, fold, free_names, gives_back
+from .common import bounded_batches, fold, free_names, gives_back, with_plain_names
 from .textbytes import buffers
 
 #: The sample: at most TRAIN_DOCUMENTS labelled documents (by a hash of the id), and of each WINDOWS windows, whose places
@@ -246,6 +246,10 @@ MOST_NONE, DOUBT = 0.5, 16
 def keep_identified(docs: DataFrame, most_none: float = MOST_NONE) -> DataFrame:
     """docs without the texts that identify_languages gives no language, or a none_share over most_none beyond doubt;
     same columns, which may have any name. Where there is no labelled text to learn from, only texts without letters go."""
+    return with_plain_names(docs, ["doc_id", "text", "lang"], lambda rows: _keep_identified(rows, most_none))
+
+
+def _keep_identified(docs: DataFrame, most_none: float) -> DataFrame:
     found, (lang, _, none), learned = _predicted(docs, 5, 0)
     n = F.octet_length("text")
     keep = (F.col(lang) != "und") & (F.col(none) * n / (n + DOUBT) <= most_none) if learned else F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, drop_rows, gives_back, id_text, key_filter, maybe_in, row_hash, shared_table
+from .common import bounded_batches, drop_rows, gives_back, id_text, key_filter, maybe_in, row_hash, shared_table, with_plain_names
 from .components import connected_components
 from .textbytes import NOT_SPACE, U64, buffers, mix, slices, words
 
@@ -340,4 +340,5 @@ def drop_near_copies(docs: DataFrame, percent: int = 80) -> DataFrame:
     apart by id and text, so one id with several texts loses only those whose component has a smaller id; all else as
     stated in near_components."""
     gone = _near_rows(docs, percent, SHINGLE).where(~F.col("kept")).select("doc_id", "row")
-    return drop_rows(docs, shared_table(gone, "gone", docs.count()))
+    gone = shared_table(gone, "gone", docs.count())
+    return with_plain_names(docs, ["doc_id", "text"], lambda rows: drop_rows(rows, gone))

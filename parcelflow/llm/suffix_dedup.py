@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, free_names, gives_back, key_filter, maybe_in, row_hash, shared_table
+from .common import bounded_batches, free_names, gives_back, key_filter, maybe_in, row_hash, shared_table, with_plain_names
 from .suffixes import common_prefixes, suffix_array
 from .textbytes import BYTE_KEYS, U64, buffers, mix, slices
 
@@ -300,6 +300,10 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     what is left of it goes too. A text without repeats, null, empty and short ones too, stays as it is; a very long one
     is read whole. Rows of one id with different texts are judged apart; wholly equal rows repeat each other. An empty
     table gives an empty result."""
+    return with_plain_names(docs, [id_col, text_col], lambda rows: _cut_repeats(rows, id_col, text_col, length))
+
+
+def _cut_repeats(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
     spans = shared_table(repeated_spans(_documents(docs, id_col, text_col), length), "spans")
     at = docs.columns.index(text_col)
 

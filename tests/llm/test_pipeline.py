@@ -97,3 +97,16 @@ def test_rows_are_told_apart_by_id_and_text_whatever_their_columns(spark):
     near = [(r["doc_id"], r["text"]) for r in minhash.drop_near_copies(docs, 80).collect()]
     gone = [(1, "beta text"), (7, many + "a b c d")]
     assert sorted(map(repr, near)) == sorted(repr(x) for x in texts if x not in gone)
+
+
+def test_names_with_dots_blanks_and_quotes(spark):
+    many = " ".join(f"word{i}" for i in range(60)) + " "
+    rows = [(1, many + "a b c d", "en", 1, 2, 3, 4), (2, many, "en", 5, 6, 7, 8), (3, "other text", "en", 9, 10, 11, 12), (3, "other text", "en", 9, 10, 11, 13), (4, "123", "en", 0, 0, 0, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, `a.b` int, `c``d` int, `e f` int, `text.x` int")
+    kept = []
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns
+        kept.append(sorted((r[0], *r[3:]) for r in out.collect()))
+    whole = sorted((r[0], *r[3:]) for r in rows)
+    assert kept == [whole[:-1], whole, [whole[0], *whole[2:]], whole]
