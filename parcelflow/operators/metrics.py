@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.expressions import below_ask, geo_level, month_key, over_ask, percent_true
 from ..schemas import ALL_TYPES, STANDARD_TYPES
 from .areas import small
+from .selection import with_medians
 
 SOLD_METRICS = ["median_sold_price", "median_dom", "over_ask_percentage", "below_ask_percentage", "sold_listing_count"]
 
@@ -23,15 +24,14 @@ def with_all_types(rows: DataFrame, kind: str = "propertyType") -> DataFrame:
 def sold_series(exploded: DataFrame, metrics: list[str] | None = None) -> DataFrame:
     """Monthly metrics of sold listings: geog_id, propertyType, month, and the chosen metrics. Months without a sale are
     absent. Medians skip nulls and are exact; shares are of all rows."""
-    every: dict[str, Column] = {
-        "median_sold_price": F.median("soldPrice"),
-        "median_dom": F.median("daysOnMarket"),
-        "over_ask_percentage": percent_true(over_ask()),
-        "below_ask_percentage": percent_true(below_ask()),
-        "sold_listing_count": F.count("_id"),
-    }
+    names = metrics or SOLD_METRICS
+    middle = {"median_sold_price": "soldPrice", "median_dom": "daysOnMarket"}
+    every: dict[str, Column] = {"over_ask_percentage": percent_true(over_ask()), "below_ask_percentage": percent_true(below_ask()), "sold_listing_count": F.count("_id")}
     rows = with_all_types(exploded.withColumn("month", month_key("lastTransition")).where("month is not null"))
-    return rows.groupBy("geog_id", "propertyType", "month").agg(*(every[m].alias(m) for m in metrics or SOLD_METRICS))
+    keys, others = ["geog_id", "propertyType", "month"], {m: every[m] for m in names if m in every}
+    wanted = {m: middle[m] for m in names if m in middle}
+    out = with_medians(rows, keys, wanted, others) if wanted else rows.groupBy(*keys).agg(*(a.alias(m) for m, a in others.items()))
+    return out.select(*keys, *names)
 
 
 def long_series(wide: DataFrame, metrics: list[str] | None = None) -> DataFrame:
@@ -44,7 +44,7 @@ def long_series(wide: DataFrame, metrics: list[str] | None = None) -> DataFrame:
 def asking_metrics(exploded: DataFrame, month: str) -> DataFrame:
     """Median asking price of all live listings, and how many of them were added in a month."""
     added = F.count_if(F.coalesce(month_key("addedOn") == month, F.lit(False)))
-    return with_all_types(exploded).groupBy("geog_id", "propertyType").agg(F.median("price").alias("median_price"), added.alias("new_listings_count"))
+    return with_medians(with_all_types(exploded), ["geog_id", "propertyType"], {"median_price": "price"}, {"new_listings_count": added})
 
 
 def inventory(exploded: DataFrame) -> DataFrame:

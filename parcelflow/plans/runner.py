@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name that driver and executors share: below spark.checkpoint.dir, or, in local mode only, a temporary
+    folder."""
+    told = spark.conf.get("spark.checkpoint.dir", None)
+    if not told and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{(told or os.path.join(tempfile.gettempdir(), 'parcelflow-runs')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 class Run:
     """One job's stages below a folder in a shared store. Spark's own _SUCCESS commit of a stage's table is its marker."""
 
