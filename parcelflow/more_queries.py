@@ -11,7 +11,7 @@ from .functions import expressions as X
 from .functions import polygons
 from .operators import areas, diff, lookup, mapping, merge, metrics, nearby, upsert
 from .plans import absorption, asking, comparables, sold_series
-from .queries import _RATES_SQL, ACTIVE_AS_OF, AS_OF, _documents, _snapshots, _sql_values, _time, _triples, _TRIPLES_SQL, _values, query
+from .queries import _CODED_SQL, _RATES_SQL, ACTIVE_AS_OF, AS_OF, _coded, _documents, _snapshots, _sql_values, _time, _triples, _TRIPLES_SQL, _values, query
 from .schemas import MARKET_TRENDS
 from .sources import listings
 
@@ -61,12 +61,9 @@ def _(spark, d):
     return listings.geo_catalogue(base, details)
 
 
-_T = [("CONDO, X", 101), ("REC", 101), ("HOUSE", 101), (None, 101), ("A", 102), ("CONDO", 103), ("B", 104), ("C", 105), ("C", None)]
-
-
-@query("p04_standard_type", None, f"SELECT listingType, searchCategoryType FROM {_sql_values(_T, 'listingType, searchCategoryType')} WHERE searchCategoryType IN (102, 103, 104) OR (searchCategoryType = 101 AND len(list_intersect(string_split(listingType, ', '), ['CONDO', 'REC'])) > 0)")
+@query("p04_standard_type", None, f"SELECT * FROM {_CODED_SQL} WHERE searchCategoryType IN (102, 103, 104) OR (searchCategoryType = 101 AND len(list_intersect(string_split(listingType, ', '), ['CONDO', 'REC'])) > 0)")
 def _(spark, d):
-    return _values(spark, _T, "listingType string, searchCategoryType int").where(X.is_standard_type())
+    return _coded(spark, d).where(X.is_standard_type())
 
 
 @query("p15_drop_all_null", None, "SELECT * FROM (SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN p_brand END AS a, CASE WHEN p_size % 5 = 0 THEN p_type END AS b FROM part) WHERE a IS NOT NULL OR b IS NOT NULL")
@@ -86,17 +83,23 @@ def _(spark, d):
     return lookup.page(S.table(spark, d, "orders").select(F.col("o_orderkey").alias("id")), "id", 3, 20)
 
 
-_CHAIN = [("g40_a", None), ("g35_b", "g40_a"), ("g30_c", "g35_b"), ("g20_d", "g30_c"), ("g10_e", "g20_d"), ("g10_f", "g20_d"), ("g30_x", "g40_a")]
+_HALVES_SQL = "(SELECT 'g' || s_suppkey AS geog_id, CASE WHEN s_suppkey > 1 THEN 'g' || s_suppkey // 2 END AS parent_id FROM supplier)"
+
+
+def _halves(spark, d):
+    """A hierarchy as deep as the number of suppliers has binary digits: the parent of k is half of k."""
+    k = F.col("s_suppkey")
+    return S.table(spark, d, "supplier").select(F.concat(F.lit("g"), k).alias("geog_id"), F.when(k > 1, F.concat(F.lit("g"), F.floor(k / 2))).alias("parent_id"))
 
 
-@query("j16_deep_ancestors", None, f"WITH RECURSIVE g AS (SELECT * FROM {_sql_values(_CHAIN, 'geog_id, parent_id')}), up AS (SELECT geog_id, parent_id AS ancestor_id, 1 AS depth FROM g WHERE parent_id IS NOT NULL UNION ALL SELECT up.geog_id, g.parent_id, depth + 1 FROM up JOIN g ON g.geog_id = up.ancestor_id WHERE g.parent_id IS NOT NULL) SELECT * FROM up")
+@query("j16_deep_ancestors", None, f"WITH RECURSIVE up AS (SELECT geog_id, parent_id AS ancestor_id, 1 AS depth FROM {_HALVES_SQL} WHERE parent_id IS NOT NULL UNION ALL SELECT up.geog_id, g.parent_id, depth + 1 FROM up JOIN {_HALVES_SQL} g ON g.geog_id = up.ancestor_id WHERE g.parent_id IS NOT NULL) SELECT * FROM up")
 def _(spark, d):
-    return areas.ancestors(_values(spark, _CHAIN, "geog_id string, parent_id string"))
+    return areas.ancestors(_halves(spark, d))
 
 
-@query("r8_area_path", None, f"SELECT geog_id FROM {_sql_values(_CHAIN, 'geog_id, parent_id')} WHERE geog_id IN ('g40_a', 'g35_b', 'g30_c', 'g20_d')")
+@query("r8_area_path", None, f"WITH RECURSIVE up AS (SELECT parent_id AS geog_id FROM {_HALVES_SQL} WHERE geog_id = 'g77' UNION ALL SELECT g.parent_id FROM up JOIN {_HALVES_SQL} g ON g.geog_id = up.geog_id WHERE g.parent_id IS NOT NULL) SELECT * FROM up")
 def _(spark, d):
-    return lookup.area_path(_values(spark, _CHAIN, "geog_id string, parent_id string"), "g10_e").select("geog_id")
+    return lookup.area_path(_halves(spark, d), "g77").select("geog_id")
 
 
 def _triangles(spark, d):
@@ -141,10 +144,12 @@ def _(spark, d):
     return lookup.features(geo, geometry=True)
 
 
-@query("f02_listing_type", None, "SELECT * FROM (VALUES (1, 'A, B'), (2, 'A'), (3, ''), (4, 'X, listingType'), (5, NULL)) v(id, text)")
+@query("f02_listing_type", None, "SELECT p_partkey AS _id, CASE WHEN p_size % 7 > 0 THEN replace(p_type, ' ', ', ') || CASE WHEN p_size % 3 = 1 THEN ', listingType' ELSE '' END END AS text FROM part")
 def _(spark, d):
-    rows = _values(spark, [(1, ["listingType", "A", "B"]), (2, ["A"]), (3, ["listingType"]), (4, ["X", "listingType"]), (5, None)], "id int, a array<string>")
-    return rows.select("id", X.joined_listing_type("a").alias("text"))
+    """Type words as arrays, with the element that names the field in front, behind, or not at all."""
+    words, name = F.split("p_type", " "), F.array(F.lit("listingType"))
+    a = F.when(F.col("p_size") % 3 == 0, F.concat(name, words)).when(F.col("p_size") % 3 == 1, F.concat(words, name)).otherwise(words)
+    return S.table(spark, d, "part").select(F.col("p_partkey").alias("_id"), X.joined_listing_type(F.when(F.col("p_size") % 7 > 0, a)).alias("text"))
 
 
 @query("f03_parsed_time", "active", "SELECT _id, addedOn AS a, date_trunc('second', lastUpdate) AS b FROM active")
@@ -348,3 +353,45 @@ def _(spark, d):
     k = F.col("s_suppkey")
     points = S.table(spark, d, "supplier").select(k.cast("string").alias("_id"), (k % 41 / 10 + 0.013).cast("double").alias("lat"), (k % 271 / 10 + 0.017).cast("double").alias("lng"))
     return areas.containing_guid(points, _triangles(spark, d))
+
+
+_AT_SQL = "(SELECT s_suppkey::VARCHAR AS _id, s_suppkey % 50 / 10.0 + 0.05 AS lat, s_suppkey % 250 / 10.0 + 0.05 AS lng FROM supplier)"
+_IN_SQL = "lat BETWEEN south AND south + 1 AND lng BETWEEN west AND west + wide"
+
+
+def _at(spark, d):
+    k = F.col("s_suppkey")
+    return S.table(spark, d, "supplier").select(k.cast("string").alias("_id"), (k % 50 / 10 + 0.05).cast("double").alias("lat"), (k % 250 / 10 + 0.05).cast("double").alias("lng"))
+
+
+@query("g03_first_per_level", "areas", f"SELECT _id, string_agg(geog_id, ',' ORDER BY level) AS guid FROM (SELECT _id, level, min(geog_id) AS geog_id FROM {_AT_SQL} JOIN areas ON {_IN_SQL} GROUP BY ALL) GROUP BY 1")
+def _(spark, d):
+    return areas.first_per_level(_at(spark, d), S.geo(spark, d))
+
+
+@query("g04_chased_guids", "areas", f"SELECT _id, a.geog_id || CASE WHEN parent_id IS NULL THEN '' ELSE ',' || parent_id END AS guid FROM (SELECT _id, min((level, geog_id))[2] AS geog_id FROM {_AT_SQL} JOIN areas ON {_IN_SQL} GROUP BY 1) f JOIN areas a ON a.geog_id = f.geog_id")
+def _(spark, d):
+    """The finest area of each point and those above it; a parent of another region shows that parents are not looked for by
+    place."""
+    return areas.chased_guids(_at(spark, d), S.geo(spark, d))
+
+
+@query("g09_pushed_guids", "sold", """SELECT _id, CASE WHEN coalesce(nullif(guid, 'None'), '') = '' AND lastTransition >= TIMESTAMP '1998-05-03' AND lastTransition <= TIMESTAMP '1998-08-01' AND bedsInt <> 3 THEN 'g30_n' || bedsInt ELSE guid END AS guid FROM sold""")
+def _(spark, d):
+    """Sales of the last ninety days without area ids get those that an earlier table knows of them."""
+    rows = S.sold(spark, d)
+    known = rows.where("bedsInt <> 3").select("_id", F.concat(F.lit("g30_n"), "bedsInt").alias("guid")).union(rows.where("bedsInt = 3").select("_id", F.lit("None")))
+    return areas.push_guids(rows, known, ACTIVE_AS_OF).select("_id", "guid")
+
+
+@query("k10_removed_groups", "active live", f"SELECT g AS gone, geog_id, propertyType, CASE WHEN g = 'last_month' THEN NULL ELSE v END AS last_new, CASE WHEN g = 'current' THEN NULL ELSE v END AS current_new, CASE WHEN g IN ('last_month', 'current') THEN 2 ELSE 1 END AS day FROM {_LAST} CROSS JOIN (VALUES ('last_month'), ('current'), ('sold'), ('absorption')) w(g)")
+def _(spark, d):
+    """Each group of fields removed from all documents; others stay, and only documents that had any are stamped."""
+    docs = upsert.put_current(spark.createDataFrame([], MARKET_TRENDS), _last(spark, d), _time("1998-08-01"))
+    month = _last(spark, d).select("geog_id", "propertyType", F.col("new_listings_count").cast("long").alias("value"))
+    docs, out = upsert.upsert_month(docs, month, "last_mth_new_listings", F.lit("1998-07"), _time("1998-08-01")), None
+    for group in ("last_month", "current", "sold", "absorption"):
+        left = upsert.remove_group(docs, group, _time("1998-08-02"))
+        left = left.select(F.lit(group).alias("gone"), "geog_id", "propertyType", F.get("metrics.last_mth_new_listings.value", F.lit(0)).alias("last_new"), F.col("metrics.current_metrics.new_listings").alias("current_new"), F.dayofmonth("last_updated").alias("day"))
+        out = left if out is None else out.union(left)
+    return out

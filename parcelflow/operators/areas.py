@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.expressions import clean_guid, geo_level
@@ -101,15 +102,47 @@ def children(geo: DataFrame) -> DataFrame:
     return geo.where(F.col("parent_id").isNotNull()).groupBy(F.col("parent_id").alias("geog_id")).agg(F.sort_array(F.collect_list("geog_id")).alias("children"))
 
 
-def ancestors(geo: DataFrame, levels: int = 5) -> DataFrame:
-    """(geog_id, ancestor_id, depth): every area with those above it, depth 1 for the parent. Five levels exist, so the
-    walk is a fixed number of joins on a small table."""
-    step = geo.select(F.col("geog_id").alias("of"), F.col("parent_id").alias("up")).where("up is not null")
-    up, out = step.select(F.col("of").alias("geog_id"), F.col("up").alias("ancestor_id"), F.lit(1).alias("depth")), None
-    for _ in range(levels):
-        out = up if out is None else out.union(up)
-        up = up.join(small(step), F.col("ancestor_id") == F.col("of")).select("geog_id", F.col("up").alias("ancestor_id"), (F.col("depth") + 1).alias("depth"))
-    return out
+def ancestors(geo: DataFrame) -> DataFrame:
+    """(geog_id, ancestor_id, depth): every area with those above it, depth 1 for the parent, however deep the hierarchy.
+
+    A recursive query, so nothing is counted or collected to plan it. Where parents go in a circle, a path ends at the area
+    that it meets again.
+    """
+    step = geo.select(F.col("geog_id").alias("of"), F.col("parent_id").alias("up")).where("of IS NOT NULL AND up IS NOT NULL").distinct()
+    walk = """
+        WITH RECURSIVE walk(geog_id, ancestor_id, depth, met) AS (
+            SELECT of, up, 1, array(of, up) FROM {step}
+            UNION ALL
+            SELECT walk.geog_id, next.up, walk.depth + 1, array_append(walk.met, next.up)
+            FROM walk JOIN {step} next ON walk.ancestor_id = next.of WHERE NOT array_contains(walk.met, next.up)
+        ) SELECT geog_id, ancestor_id, depth FROM walk
+    """
+    return geo.sparkSession.sql(walk, step=step)
+
+
+def chased_guids(points: DataFrame, geo: DataFrame, key: str = "_id") -> DataFrame:
+    """(key, guid): the finest area that holds a point, the first by id of several, and all areas above it by their parents,
+    whether or not these hold the point too. Points in no area are absent."""
+    finest = points_in_areas(points, geo, key).groupBy(key).agg(F.min(F.struct("level", "geog_id"))["geog_id"].alias("geog_id"))
+    above = ancestors(geo).groupBy("geog_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("depth", "ancestor_id"))), lambda x: x["ancestor_id"]).alias("above"))
+    return finest.join(above, "geog_id", "left").select(key, F.concat_ws(",", "geog_id", "above").alias("guid"))
+
+
+def first_per_level(points: DataFrame, geo: DataFrame, key: str = "_id") -> DataFrame:
+    """(key, guid): on each level the first area by id that holds a point, fine to coarse, whatever their parents."""
+    one = points_in_areas(points, geo, key).groupBy(key, "level").agg(F.min("geog_id").alias("geog_id"))
+    ordered = one.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("level", "geog_id"))).alias("ids"))
+    return ordered.select(key, F.array_join("ids.geog_id", ",").alias("guid"))
+
+
+def push_guids(sold: DataFrame, known: DataFrame, now, days: int = 90) -> DataFrame:
+    """sold with guid filled from known(_id, guid) where it is missing, for sales of the last days, from the start of a day,
+    with coordinates that can be. Of several guids of an id the first is taken; other rows stay as they are."""
+    one = known.where(clean_guid("guid").isNotNull()).groupBy(F.col("_id").alias("__id")).agg(F.min("guid").alias("__guid"))
+    recent = F.col("lastTransition").between(F.date_trunc("day", F.lit(now - dt.timedelta(days=days))).cast("timestamp_ntz"), F.lit(now).cast("timestamp_ntz"))
+    fill = clean_guid("guid").isNull() & recent & F.col("lat").between(-90, 90) & F.col("lng").between(-180, 180)
+    out = sold.join(one, F.col("_id") == F.col("__id"), "left")
+    return out.withColumn("guid", F.when(F.coalesce(fill, F.lit(False)), F.coalesce("__guid", "guid")).otherwise(F.col("guid"))).drop("__id", "__guid")
 
 
 def overlapping(geo: DataFrame, cell: float = 0.25) -> DataFrame:
@@ -167,10 +200,8 @@ def find_parents(geo: DataFrame, least_share: float = 0.99, cell: float = 0.25)
 
 def best_entry_by_city(entries: DataFrame) -> DataFrame:
     """(CITY, PROV_STATE, GEOGRAPHIES): the entry with most area ids of each city; of equal ones the first by text."""
-    n = F.size(F.split("GEOGRAPHIES", ","))
-    w = W.partitionBy("CITY", "PROV_STATE").orderBy(F.desc("__n"), "GEOGRAPHIES")
-    ranked = entries.where("GEOGRAPHIES is not null").withColumn("__n", n).withColumn("__r", F.row_number().over(w))
-    return ranked.where("__r = 1").select("CITY", "PROV_STATE", "GEOGRAPHIES")
+    best = F.min_by("GEOGRAPHIES", F.struct(-F.size(F.split("GEOGRAPHIES", ",")), "GEOGRAPHIES"))
+    return entries.where("GEOGRAPHIES is not null").groupBy("CITY", "PROV_STATE").agg(best.alias("GEOGRAPHIES"))
 
 
 def guid_covers(guid: str, other: str):

@@ -87,6 +87,32 @@ def remove_metrics(target: DataFrame, names: list[str]) -> DataFrame:
     return target.withColumn("metrics", _metrics(cleared, F.col("metrics")))
 
 
+#: The groups of fields that can be removed from all documents at once, by what wrote them.
+REMOVABLE = {
+    "sold": ["median_sold_price", "median_dom", "over_ask_percentage", "below_ask_percentage", "sold_listing_count"],
+    "absorption": ["absorption_rate", "months_of_inventory"],
+    "last_month": ["last_mth_median_asking_price", "last_mth_new_listings"],
+    "current": ["current_metrics"],
+}
+
+
+def remove_group(target: DataFrame, group: str, stamp: Column | None = None) -> DataFrame:
+    """Documents without the fields of one group; a stamp marks those that had any."""
+    out = remove_metrics(target, REMOVABLE[group])
+    if stamp is None:
+        return out
+    had = F.coalesce(*(F.when(F.col("metrics")[n].isNotNull(), True) for n in REMOVABLE[group]), F.lit(False))
+    return remove_metrics(target.withColumn("last_updated", F.when(had, stamp).otherwise(F.col("last_updated"))), REMOVABLE[group])
+
+
+def remove_comparables(listings: DataFrame) -> DataFrame:
+    """Listings without comparable sales, where they have any."""
+    if "comparable_sold_listings" not in listings.columns:
+        return listings
+    kind = listings.schema["comparable_sold_listings"].dataType
+    return listings.withColumn("comparable_sold_listings", F.lit(None).cast(kind))
+
+
 def put_comparables(listings: DataFrame, comps: DataFrame, digits: int = 1) -> DataFrame:
     """Listings with comparable_sold_listings {sold_listing_ids, distances_km} replaced where comps has the listing."""
     c = comps.select(F.col("listing_id").alias("__id"), F.struct(F.transform("comps", lambda x: x["sold_id"]).alias("sold_listing_ids"), F.transform("comps", lambda x: F.round(x["distance_km"], digits)).alias("distances_km")).alias("__new"))

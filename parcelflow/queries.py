@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import surrogate as S
+from .functions import classifier
 from .functions import expressions as X
 from .functions.classifier import classify
 from .operators import areas, diff, lookup, mapping, merge, metrics, nearby, upsert
@@ -108,12 +109,21 @@ def _(spark, d):
     return metrics.diagnostics(merge.in_window(S.sold(spark, d), X.window_start(AS_OF), AS_OF), "lastTransition")
 
 
-_TYPES = [("CONDO, X", 101), ("REC", 101), ("HOUSE", 101), (None, 101), ("A", 102), ("CONDO", 103), ("B", 104), ("C", 105), ("C", None)]
+_CODED_SQL = "(SELECT p_partkey AS _id, CASE WHEN p_size % 9 > 0 THEN CASE WHEN p_size % 2 = 0 THEN 'CONDO, ' ELSE '' END || replace(replace(p_type, 'SMALL', 'REC'), ' ', ', ') END AS listingType, CASE WHEN p_partkey % 11 > 0 THEN CAST(101 + p_partkey % 6 AS INT) END AS searchCategoryType FROM part)"
 
 
-@query("p04_f01_property_type", None, f"SELECT listingType, searchCategoryType, CASE WHEN searchCategoryType = 101 AND (list_contains(string_split(listingType, ', '), 'CONDO') OR list_contains(string_split(listingType, ', '), 'REC')) THEN 'CONDO' WHEN searchCategoryType = 104 THEN 'SEMI-DETACHED' WHEN searchCategoryType = 102 THEN 'TOWNHOUSE' WHEN searchCategoryType = 103 THEN 'DETACHED' ELSE 'OTHER' END AS propertyType FROM {_sql_values(_TYPES, 'listingType, searchCategoryType')}")
+def _coded(spark, d):
+    """Listing types and category codes, some missing, from parts."""
+    types = F.concat(F.when(F.col("p_size") % 2 == 0, "CONDO, ").otherwise(""), F.replace(F.replace("p_type", F.lit("SMALL"), F.lit("REC")), F.lit(" "), F.lit(", ")))
+    return S.table(spark, d, "part").select(F.col("p_partkey").alias("_id"), F.when(F.col("p_size") % 9 > 0, types).alias("listingType"), F.when(F.col("p_partkey") % 11 > 0, (101 + F.col("p_partkey") % 6).cast("int")).alias("searchCategoryType"))
+
+
+_IS_CONDO_SQL = "(list_contains(string_split(listingType, ', '), 'CONDO') OR list_contains(string_split(listingType, ', '), 'REC'))"
+
+
+@query("p04_f01_property_type", None, f"SELECT *, CASE WHEN searchCategoryType = 101 AND {_IS_CONDO_SQL} THEN 'CONDO' WHEN searchCategoryType = 104 THEN 'SEMI-DETACHED' WHEN searchCategoryType = 102 THEN 'TOWNHOUSE' WHEN searchCategoryType = 103 THEN 'DETACHED' ELSE 'OTHER' END AS propertyType FROM {_CODED_SQL}")
 def _(spark, d):
-    return _values(spark, _TYPES, "listingType string, searchCategoryType int").withColumn("propertyType", X.property_type())
+    return _coded(spark, d).withColumn("propertyType", X.property_type())
 
 
 @query("p05_expiry", "sold", "SELECT _id FROM sold WHERE lastTransition >= TIMESTAMP '2000-08-15' OR lastTransition IS NULL")
@@ -516,9 +526,59 @@ TRIPLES = [
 ]
 
 
-@query("x_classify", None, f"SELECT * FROM {_sql_values(TRIPLES, 'Type, SubType, Style, Inferred')}")
-def _(spark, d):
-    rows = _values(spark, [t[:3] for t in TRIPLES], "Type string, SubType string, Style string")
+def _phrases(field: str, extra: list[str]) -> list[str]:
+    """For each rule that reads a field, a phrase that meets it, some in other case, in order of the rules."""
+    found = [words[k % len(words)] for k, (_, conditions) in enumerate(classifier.FIRST_RULES + classifier.LAST_RULES) for names, _, words in conditions if field in names or names == "all"]
+    found = list(dict.fromkeys([*extra, *found]))
+    return [w.title() if k % 3 == 0 else w for k, w in enumerate(found)]
+
+
+_PHRASES = {
+    "Type": _phrases("t", ["residential", "house", "other", "single family", ""]),
+    "SubType": _phrases("s", ["other", "n/r", "recreational", "bungalow", "residential", ""]),
+    "Style": _phrases("y", ["n/r", "2-storey", "end unit", "stacked", "loft", ""]),
+}
+#: How line items choose a phrase of each field; together they meet every rule.
+_CHOSEN = {"Type": "l_partkey + l_linenumber", "SubType": "l_suppkey * 7 + l_orderkey", "Style": "l_orderkey // 3 + l_partkey * 5"}
+
+
+def _rules_sql() -> str:
+    """The rules in order as SQL, in plain CASE and contains()."""
+    text = lambda w: "'" + w.replace("'", "''") + "'"
+
+    def condition(names, how, words, fields):
+        cols = [fields["all"]] if names == "all" else [fields[n] for n in names]
+        test = lambda c: f"{c} IN ({', '.join(map(text, words))})" if how == classifier.IS else " OR ".join(f"contains({c}, {text(w)})" for w in words)
+        return ("NOT " if how == classifier.LACKS else "") + "(" + " OR ".join(map(test, cols)) + ")"
+
+    def chain(rules, fields, otherwise):
+        whens = " ".join(f"WHEN {' AND '.join(condition(*c, fields) for c in conditions)} THEN {text(category)}" for category, conditions in rules)
+        return f"CASE {whens} ELSE {otherwise} END"
+
+    raw, trimmed = {"t": "t", "s": "s", "y": "y", "all": "a"}, {"t": "trim(t)", "s": "trim(s)", "y": "trim(y)", "all": "(trim(t) || ' ' || trim(s) || ' ' || trim(y))"}
+    count = lambda c, words: "(" + " + ".join(f"contains({c}, {text(w)})::INT" for w in words) + ")"
+    points = {c: " + ".join(f"{weight} * {count(n, words)}" for n, weight in classifier.FIELD_WEIGHTS.items()) for c, words in classifier.KEYWORDS.items()}
+    scores = ", ".join(f"({points[c]})::DOUBLE AS {c.replace('-', '_')}" for c in classifier.CATEGORIES)
+    large = f"2.0 * {count('a', classifier.LARGE_BUILDINGS)}"
+    value = {c: c.replace("-", "_") for c in classifier.CATEGORIES}
+    final = {c: f"{v} + large" if c == "CONDO" else f"CASE WHEN t = 'residential' THEN 0.0 ELSE {v} END" if c == "COMMERCIAL" else v for c, v in value.items()}
+    rank = {c: "CASE WHEN CONDO = 0 THEN 99 ELSE 0 END" if c == "CONDO" else str(k) for k, c in enumerate(classifier.CATEGORIES)}
+    best = " UNION ALL ".join(f"SELECT {text(c)} AS category, {final[c]} AS score, {rank[c]} AS rank" for c in classifier.CATEGORIES)
+    end_unit = "contains(a, 'end unit') AND s IN ('other', 'n/r') AND NOT (contains(a, 'apartment') OR contains(a, 'condo') OR contains(a, 'townhouse') OR contains(a, 'row'))"
+    lists = {k: "[" + ", ".join(map(text, v)) + "]" for k, v in _PHRASES.items()}
+    chosen = ", ".join(f"nullif({lists[k]}[CAST(({v}) % {len(_PHRASES[k])} AS INT) + 1], '') AS {k}" for k, v in _CHOSEN.items())
+    return f"""WITH triples AS (SELECT DISTINCT {chosen} FROM lineitem),
+        low AS (SELECT *, coalesce(lower(Type), '') AS t, coalesce(lower(SubType), '') AS s, coalesce(lower(Style), '') AS y FROM triples),
+        whole AS (SELECT *, t || ' ' || s || ' ' || y AS a FROM low), scored AS (SELECT *, {large} AS large, {scores} FROM whole),
+        top AS (SELECT *, (SELECT struct_pack(category := category, score := score) FROM ({best}) ORDER BY score DESC, rank LIMIT 1) AS best FROM scored)
+        SELECT Type, SubType, Style, {chain(classifier.FIRST_RULES, raw, f"CASE WHEN ({end_unit}) OR best.score <= 0 THEN {chain(classifier.LAST_RULES, trimmed, text(classifier.UNCLEAR))} ELSE best.category END")} AS Inferred FROM top"""
+
+
+@query("x_classify", None, _rules_sql())
+def _(spark, d):
+    """Triples that line items put together from phrases of all rules: some tens of thousands of different ones."""
+    pick = lambda k: F.nullif(F.get(F.array(*map(F.lit, _PHRASES[k])), F.expr(f"CAST(({_CHOSEN[k].replace('//', 'DIV')}) % {len(_PHRASES[k])} AS INT)")), F.lit(""))
+    rows = S.table(spark, d, "lineitem").select(*(pick(k).alias(k) for k in _PHRASES)).distinct()
     return rows.withColumn("Inferred", classify(F.col("Type"), F.col("SubType"), F.col("Style")))
 
 
