@@ -71,9 +71,6 @@ def _(spark, d):
     return spark.createDataFrame([(p,) for p in found], "part string")
 
 
-_PARTS = {"odd": F.col("user_id") % 2 == 1, "even": F.col("user_id") % 2 == 0}
-
-
 @query("t01_followed_files", None, "SELECT CASE user_id % 2 WHEN 1 THEN 'odd' ELSE 'even' END AS part, event_id, user_id, value FROM events WHERE user_id % 2 IN (0, 1) QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY event_id) = 1")
 def _(spark, d):
     """The events come as files in three lots, the last of which repeats part of the first; each run of the stream merges what
@@ -81,9 +78,10 @@ def _(spark, d):
     root = scratch(spark, "followed")
     events = spark.read.parquet(f"{d}/events.parquet").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", F.col("value").cast("double").alias("value"), F.col("props").cast("string").alias("props"))
     store = Increments(spark, root, "events")
+    parts = {"odd": F.col("user_id") % 2 == 1, "even": F.col("user_id") % 2 == 0}
     lots = [F.col("event_id") % 3 == 0, F.col("event_id") % 3 == 1, (F.col("event_id") % 3 == 2) | (F.col("event_id") % 6 == 0)]
     for lot in lots:
         events.where(lot).write.mode("append").parquet(f"{root}/files")
         stream = spark.readStream.schema(EVENTS).parquet(f"{root}/files")
-        follow(stream, _PARTS, store, lambda state, rows: rows.dropDuplicates(["event_id"]) if state is None else merge.keep_first(state, rows, ["event_id"]), f"{root}/checkpoint").awaitTermination()
-    return store.states(list(_PARTS)).select("part", "event_id", "user_id", "value")
+        follow(stream, parts, store, lambda state, rows: rows.dropDuplicates(["event_id"]) if state is None else merge.keep_first(state, rows, ["event_id"]), f"{root}/checkpoint").awaitTermination()
+    return store.states(list(parts)).select("part", "event_id", "user_id", "value")
