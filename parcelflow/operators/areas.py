@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import clean_guid, geo_level
 from ..functions.polygons import bounding_box, contains_point, covered_share
+from .cells import BITS, CELLS, cell_code, covering, crowding
 
 #: Areas of a catalogue that may be broadcast; beyond, the same joins shuffle.
 MOST_BROADCAST_AREAS = 200_000
@@ -38,16 +39,30 @@ def contamination(listings: DataFrame, valid: DataFrame) -> DataFrame:
     return rows.agg(n.alias("before"), ok.alias("after"), (F.try_divide(n - ok, n) * 100).alias("percent_unknown"))
 
 
-def points_in_areas(points: DataFrame, geo: DataFrame, key: str = "_id", touching: bool = True, cell: float = 0.25) -> DataFrame:
-    """(key, geog_id, level) for every area that contains a point. Points and the boxes of areas are cut into cells, which
-    are equi-joined; the exact test is an expression on what is left."""
-    box = bounding_box(F.col("rings"))
-    areas = geo.where(F.size("rings") > 0).select("geog_id", "level", "rings", box.alias("box"))
-    at = lambda c: F.floor(c / cell).cast("int")
-    areas = areas.withColumn("cy", F.explode(F.sequence(at(F.col("box.south")), at(F.col("box.north"))))).withColumn("cx", F.explode(F.sequence(at(F.col("box.west")), at(F.col("box.east")))))
+#: Areas whose cells may be broadcast, some 64 of 40 bytes each.
+MOST_BROADCAST_COVERINGS = 20_000
+
+
+def points_in_areas(points: DataFrame, geo: DataFrame, key: str = "_id", touching: bool = True, by_density: bool = False) -> DataFrame:
+    """(key, geog_id, level) for every area that contains a point, over the areas' cells of a quadtree: in cells wholly inside
+    an area there is nothing left to test, elsewhere outlines are joined by area. by_density covers areas with crowded
+    surroundings more finely, for another pass over the points. Repeated points give repeated rows."""
+    most: Column | int = CELLS
+    if by_density:
+        geo = crowding(points, geo)
+        most = F.col("cells")
+    few = geo.limit(MOST_BROADCAST_COVERINGS + 1).count() <= MOST_BROADCAST_COVERINGS
+    hint = F.broadcast if few else lambda df: df
+    index = covering(geo, most)
+    depths = index.select(F.shiftright("code", 2 * BITS).cast("int").alias("__depth")).agg(F.collect_set("__depth").alias("__depths"))  # ten at most
     places = points.where(F.col("lat").isNotNull() & F.col("lng").isNotNull()).select(F.col(key), F.col("lat").alias("__lat"), F.col("lng").alias("__lng"))
-    places = places.withColumns({"cy": at(F.col("__lat")), "cx": at(F.col("__lng"))})
-    return places.join(small(areas), ["cy", "cx"]).where(contains_point(F.col("rings"), F.col("__lat"), F.col("__lng"), touching)).select(key, "geog_id", "level")
+    places = places.join(F.broadcast(depths)).select(key, "__lat", "__lng", F.explode("__depths").alias("__depth"))
+    places = places.withColumn("code", cell_code(F.col("__depth"), F.col("__lat"), F.col("__lng")))
+    met = places.join(hint(index), "code")
+    inside = met.where("inside").select(key, "geog_id", "level")
+    outlines = geo.where(F.size("rings") > 0).select("geog_id", "rings")
+    border = met.where("NOT inside").join(hint(outlines), "geog_id").where(contains_point(F.col("rings"), F.col("__lat"), F.col("__lng"), touching))
+    return inside.union(border.select(key, "geog_id", "level"))
 
 
 def containing_guid(points: DataFrame, geo: DataFrame, key: str = "_id") -> DataFrame:
