@@ -11,6 +11,7 @@ from .functions import expressions as X
 from .functions import polygons
 from .operators import areas, diff, lookup, mapping, merge, metrics, nearby, upsert
 from .plans import absorption, asking, comparables, sold_series
+from .plans.runner import Run, scratch
 from .queries import _CODED_SQL, _RATES_SQL, ACTIVE_AS_OF, AS_OF, _coded, _documents, _snapshots, _sql_values, _time, _triples, _TRIPLES_SQL, _values, query
 from .schemas import MARKET_TRENDS
 from .sources import listings
@@ -293,14 +294,33 @@ def _(spark, d):
     return docs.select("_id", F.size("comparable_sold_listings.sold_listing_ids").alias("n"), F.array_max("comparable_sold_listings.distances_km").alias("far"))
 
 
-@query("c03_comparables_changed", "sold active", f"""SELECT coalesce(b.listing_id, a.listing_id) AS listing_id, coalesce(b.n, 0)::INT AS n FROM
-    (SELECT listing_id, count(*) AS n, string_agg(sold_id, ',' ORDER BY sold_id) AS ids FROM (SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY km, sold_id) AS r FROM {_NEAR} WHERE km < 1.0) WHERE r <= 12 GROUP BY 1) b FULL JOIN
-    (SELECT listing_id, string_agg(sold_id, ',' ORDER BY sold_id) AS ids FROM (SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY km, sold_id) AS r FROM {_NEAR} WHERE km < 1.0 AND sold_on < TIMESTAMP '2001-01-01') WHERE r <= 12 GROUP BY 1) a USING (listing_id) WHERE a.ids IS DISTINCT FROM b.ids""")
+def _twelve(where: str) -> str:
+    return f"(SELECT listing_id, count(*) AS n, string_agg(sold_id, ',' ORDER BY sold_id) AS ids, max(km) AS far FROM (SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY km, sold_id) AS r FROM {_NEAR} WHERE {where}) WHERE r <= 12 GROUP BY 1)"
+
+
+_NOW, _THEN = _twelve("km < 1.0"), _twelve("km < 1.0 AND sold_on < TIMESTAMP '2001-01-01'")
+_CHANGED_SQL = f"SELECT coalesce(b.listing_id, a.listing_id) AS listing_id, coalesce(b.n, 0)::INT AS n FROM {_NOW} b FULL JOIN {_THEN} a USING (listing_id) WHERE a.ids IS DISTINCT FROM b.ids"
+
+
+@query("c03_comparables_delta", "sold active", _CHANGED_SQL)
+def _(spark, d):
+    """Comparables of all sales against those of the earlier ones, which a run before has written."""
+    a, s = S.active(spark, d), S.sold(spark, d)
+    run = Run(spark, scratch(spark, "comparables"), "earlier")
+    before = run.stage("comparables", lambda: comparables.run(a, s.where(F.col("lastTransition") < _time("2001-01-01")))["comparables"])
+    return comparables.run(a, s, before)["changed"].select("listing_id", F.size("comps").alias("n"))
+
+
+@query("c03_comparables_changed", "sold active", _CHANGED_SQL + f" UNION SELECT listing_id, n::INT FROM {_NOW} WHERE listing_id LIKE '%7' AND far > 0.3")
 def _(spark, d):
+    """The same, where one listing in ten has kept its sales but for a distance beyond 300 metres that was measured anew; a
+    distance that differs by rounding alone is no change."""
     a, s = S.active(spark, d), S.sold(spark, d)
+    now = nearby.comparable_arrays(nearby.comparables(a, s), a)
     before = nearby.comparable_arrays(nearby.comparables(a, s.where(F.col("lastTransition") < _time("2001-01-01"))), a)
-    changed = diff.comparables_delta(before, nearby.comparable_arrays(nearby.comparables(a, s), a))
-    return changed.select("listing_id", F.size("comps").alias("n"))
+    moved = lambda x: F.when(F.col("listing_id").endswith("7") & (x["distance_km"] > 0.3), x["distance_km"] * 1.01).otherwise(x["distance_km"] * (1 + 1e-12))
+    before = before.withColumn("comps", F.transform("comps", lambda x: F.struct(x["sold_id"].alias("sold_id"), moved(x).alias("distance_km"))))
+    return diff.comparables_delta(before, now).select("listing_id", F.size("comps").alias("n"))
 
 
 @query("k05_rates_replaced", "sold exploded windowed leveled active live snapshots", f"""SELECT d.geog_id, d.propertyType, coalesce(n, 0)::INT AS months, first FROM (SELECT DISTINCT geog_id, propertyType FROM leveled) d

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import below_ask, geo_level, month_key, over_ask, percent_true
 from ..schemas import ALL_TYPES, STANDARD_TYPES
-from .areas import small
 from .selection import with_medians
 
 SOLD_METRICS = ["median_sold_price", "median_dom", "over_ask_percentage", "below_ask_percentage", "sold_listing_count"]
@@ -59,22 +58,37 @@ def sold_counts(exploded: DataFrame) -> DataFrame:
     return rows.groupBy("geog_id", "propertyType", "month").agg(F.count(F.lit(1)).alias("sold_count"))
 
 
-def dense(counts: DataFrame, value: str, months: DataFrame | None = None) -> DataFrame:
-    """Every (geog_id, propertyType) with every month of the table, missing ones as 0; repeated cells are averaged.
+def _cells_by_key(counts: DataFrame, value: str) -> DataFrame:
+    """(geog_id, propertyType, <value>): each key's months as a map; repeated cells are averaged. A key has as many entries as
+    there are months."""
+    cells = counts.where("month IS NOT NULL").groupBy("geog_id", "propertyType", "month").agg(F.avg(value).alias("__v"))
+    return cells.groupBy("geog_id", "propertyType").agg(F.map_from_entries(F.collect_list(F.struct("month", "__v"))).alias(value))
+
+
+def _months(*tables: DataFrame) -> DataFrame:
+    """One row: the months that all of the tables have, a few hundred as a rule."""
+    rows = [t.agg(F.array_sort(F.collect_set("month")).alias(f"__{k}")) for k, t in enumerate(tables)]
+    out = rows[0].withColumnRenamed("__0", "__months")
+    for k, row in enumerate(rows[1:], 1):
+        out = out.join(F.broadcast(row)).select(F.array_intersect("__months", f"__{k}").alias("__months"))
+    return out
 
-    The product with the months is the result's own rows; months, a few hundred as a rule, are broadcast if they are few.
-    """
-    months = counts.select("month").distinct() if months is None else months
-    keys = counts.select("geog_id", "propertyType").distinct()
-    cells = counts.groupBy("geog_id", "propertyType", "month").agg(F.avg(value).alias(value))
-    grid = keys.crossJoin(small(months.select("month")))
-    return grid.join(cells, ["geog_id", "propertyType", "month"], "left").withColumn(value, F.coalesce(value, F.lit(0.0)))
+
+def dense(counts: DataFrame, value: str, months: DataFrame | None = None) -> DataFrame:
+    """Every (geog_id, propertyType) with every month of the table, or of `months`, missing ones as 0; repeated cells are
+    averaged. Keys without a type or area stay. Nothing is counted to plan it: the months come as one row."""
+    rows = _cells_by_key(counts, value).join(F.broadcast(_months(counts if months is None else months)))
+    rows = rows.select("geog_id", "propertyType", value, F.explode("__months").alias("month"))
+    return rows.select("geog_id", "propertyType", "month", F.coalesce(F.try_element_at(value, F.col("month")), F.lit(0.0)).alias(value))
 
 
 def absorption(sold: DataFrame, current: DataFrame) -> DataFrame:
     """absorption_rate = sold / current and months_of_inventory = current / sold, over keys and months that both sides
-    have; a division by nought gives null."""
-    both = dense(sold, "sold_count").join(dense(current, "current_count"), ["geog_id", "propertyType", "month"])
+    have; a division by nought gives null. Keys are joined with all their months, which are unfolded last."""
+    both = _cells_by_key(sold, "sold_count").join(_cells_by_key(current, "current_count"), ["geog_id", "propertyType"])
+    both = both.join(F.broadcast(_months(sold, current))).select("*", F.explode("__months").alias("month"))
+    of = lambda name: F.coalesce(F.try_element_at(name, F.col("month")), F.lit(0.0)).alias(name)
+    both = both.select("geog_id", "propertyType", "month", of("sold_count"), of("current_count"))
     rate, stock = F.try_divide("sold_count", "current_count"), F.try_divide("current_count", "sold_count")
     return both.withColumns({"absorption_rate": rate, "months_of_inventory": stock})
 

@@ -423,15 +423,6 @@ def _(spark, d):
     return nearby.comparables(S.active(spark, d), S.sold(spark, d)).withColumn("distance_km", F.round("distance_km", 6))
 
 
-@query("c03_comparables_delta", None, None)
-def _(spark, d):
-    """Comparables of all sales against those of the earlier ones."""
-    a, s = S.active(spark, d), S.sold(spark, d)
-    before = comparables.run(a, s.where(F.col("lastTransition") < _time("2001-01-01")))["comparables"]
-    changed = comparables.run(a, s, before)["changed"]
-    return changed.select("listing_id", F.size("comps").alias("n"))
-
-
 # change detection
 
 
