@@ -60,6 +60,20 @@ def backfill(target: DataFrame, long: DataFrame, name: str, stamp: Column) -> Da
     return replace_series(target, series_arrays(cells), name, stamp)
 
 
+def recover_last_month(target: DataFrame, archived: DataFrame, stamp: Column) -> DataFrame:
+    """The two last-month series wiped and set again from archived(geog_id, propertyType, month, median_price,
+    new_listings_count), in the documents it names; they are made where there are none, and others stay. Months without a
+    value are left out of that series; other metrics stay. Archived rows without a month, or with an id of another form,
+    and repeated ones but the least, are not used."""
+    names = ["last_mth_median_asking_price", "last_mth_new_listings"]
+    rows = archived.where(F.col("geog_id").rlike(r"^.[0-9]+_") & F.col("propertyType").isNotNull() & F.col("month").isNotNull())
+    rows = rows.groupBy(*KEYS, "month").agg(F.min(F.struct("median_price", "new_listings_count")).alias("v"))
+    entries = lambda c, kind: F.sort_array(F.collect_list(F.when(F.col(f"v.{c}").isNotNull(), F.struct("month", F.col(f"v.{c}").cast(kind).alias("value")))))
+    updates = rows.groupBy(*KEYS).agg(entries("median_price", "double").alias(names[0]), entries("new_listings_count", "bigint").alias(names[1]))
+    j = _joined(target, updates, "full")
+    return _finish(j, updates, _metrics({n: F.col(f"__{n}") for n in names}, F.col("metrics")), stamp)
+
+
 def upsert_month(target: DataFrame, updates: DataFrame, name: str, month: Column, stamp: Column, remove_null: bool = False) -> DataFrame:
     """One month's value of a series from updates(geog_id, propertyType, value)."""
     j = _joined(target, updates, "full")

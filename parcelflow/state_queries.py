@@ -7,11 +7,14 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from . import surrogate as S
-from .operators import merge
+from .functions import expressions as X
+from .operators import areas, merge, metrics, upsert
 from .plans import checks, comparables
 from .plans.increments import Increments, due, follow
 from .plans.runner import scratch
 from .queries import _time, query
+from .schemas import MARKET_TRENDS
+from .sources import archives
 from .streaming.events import EVENTS
 
 PROVINCES = {"AB": 0, "BC": 1, "ON": 2, "QC": 3, "SK": 4}
@@ -85,3 +88,31 @@ def _(spark, d):
         stream = spark.readStream.schema(EVENTS).parquet(f"{root}/files")
         follow(stream, parts, store, lambda state, rows: rows.dropDuplicates(["event_id"]) if state is None else merge.keep_first(state, rows, ["event_id"]), f"{root}/checkpoint").awaitTermination()
     return store.states(list(parts)).select("part", "event_id", "user_id", "value")
+
+
+_MONTHS_SQL = """SELECT geog_id, t AS propertyType, strftime(addedOn, '%Y-%m') AS month, median(price) AS m, count(*) AS n
+    FROM (SELECT *, unnest(list_filter(['ALL', propertyType], lambda x: x IS NOT NULL)) AS t FROM live) GROUP BY ALL"""
+
+
+def _by_month(spark, d):
+    rows = metrics.with_all_types(areas.explode_areas(S.active(spark, d))).withColumn("month", X.month_key("addedOn"))
+    return rows.groupBy("geog_id", "propertyType", "month").agg(F.median("price").alias("median_price"), F.count(F.lit(1)).alias("new_listings_count"))
+
+
+@query("k13_recovered_series", "active live", f"""SELECT geog_id, propertyType, string_agg(month || ':' || n, ',' ORDER BY month) AS new_listings, round(sum(m), 4) AS sum_of_medians, count(*)::INT AS months FROM ({_MONTHS_SQL}) GROUP BY ALL
+    UNION ALL SELECT 'g40_kept', 'ALL', '1901-01:7', NULL, 1""")
+def _(spark, d):
+    """Every month's figures are archived on the first day of the next one, read back, and set in new documents, and in one
+    that held another series, which goes; a document that no archive names keeps its own."""
+    folder, rows = scratch(spark, "archives"), _by_month(spark, d)
+    day = F.date_format(F.add_months(F.to_date(F.concat("month", F.lit("-01"))), 1), "yyyyMMdd")
+    name = F.concat(F.lit("on_last_mth_metrics_results_"), day, F.lit("_df.txt"))
+    archives.write_archives(rows.withColumn("__to", name).drop("month"), folder, F.col("__to"))
+    found = archives.archived_last_month(spark, folder)
+    old = spark.createDataFrame([("g40_kept", "ALL", 7), ("g40_r1", "ALL", 9)], "geog_id string, propertyType string, value bigint")
+    docs = upsert.upsert_month(spark.createDataFrame([], MARKET_TRENDS), old, "last_mth_new_listings", F.lit("1901-01"), _time("2001-01-01"))
+    docs = upsert.recover_last_month(docs, found, _time("2001-01-02"))
+    total = F.aggregate("metrics.last_mth_median_asking_price", F.lit(0.0).cast("double"), lambda s, x: s + x["value"])
+    text = F.array_join(F.transform("metrics.last_mth_new_listings", lambda x: F.concat_ws(":", x["month"], x["value"].cast("string"))), ",")
+    n = F.size("metrics.last_mth_new_listings")
+    return docs.select("geog_id", "propertyType", text.alias("new_listings"), F.round(total, 4).alias("sum_of_medians"), n.alias("months"))

@@ -44,6 +44,48 @@ def test_state_versions_and_expiry(spark, tmp_path):
     assert store.names() == ["a"] and store.latest_in_month("a", "202401").startswith("20240102")
 
 
+def test_state_deleted_restored_and_compacted(spark, tmp_path):
+    day = lambda k: dt.datetime(2024, 1, k)
+    store = archives.StateStore(spark, str(tmp_path))
+    one, two = spark.range(1), spark.range(2)
+    assert store.set("m", one, day(1)) != archives.StateStore(spark, str(tmp_path)).set("m", two, day(1))
+    store.set("m", two, day(2)), store.set("other", one, day(2)), store.set("older", one, day(2))
+    assert not store.delete("nothing", day(3)) and store.delete("m", day(3))
+    assert store.get("m", day(4)) is None and store.get("m", day(4), at=day(2)).count() == 2 and store.names() == ["older", "other"]
+    assert not store.restore("m", dt.datetime(2023, 1, 1), day(4)) and store.restore("m", day(2), day(4))
+    assert store.get("m", day(5)).count() == 2 and store.latest_in_month("m", "202401").startswith("20240104")
+    assert store.clear(day(6), "o") == ["older", "other"] and store.names() == ["m"]
+    assert store.compact(day(6)) == 4  # both of the first day, and what was cleared; what was restored stays
+    assert store.get("m", day(7)).count() == 2 and store.get("m", day(7), at=day(2)) is None
+    assert store.clear(day(8)) == ["m"] and store.names() == [] and store.clear(day(9)) == []
+
+
+def test_mapping_versions(spark, tmp_path):
+    store = archives.StateStore(spark, str(tmp_path))
+    rows = lambda kind: spark.createDataFrame([("a", "b", "c", 3, kind)], MAPPING)
+    assert archives.load_mapping(store, dt.datetime(2024, 1, 1)) is None
+    archives.save_mapping(store, rows("CONDO"), dt.datetime(2024, 1, 1))
+    archives.save_mapping(store, rows("OTHER"), dt.datetime(2024, 2, 1))
+    now = dt.datetime(2024, 3, 1)
+    assert archives.load_mapping(store, now).first()["Inferred"] == "OTHER" and archives.load_mapping(store, now, dt.datetime(2024, 1, 15)).first()["Inferred"] == "CONDO"
+    assert store.restore(archives.MAPPING_NAME, dt.datetime(2024, 1, 15), now) and archives.load_mapping(store, now).first()["Inferred"] == "CONDO"
+
+
+def test_bad_archives_cost_only_themselves(spark, tmp_path):
+    head = "geog_id\tpropertyType\tcurrent_count\n"
+    files = {
+        "current_listing_counts_2024-01_20240201_df.txt": head + "g1\tCONDO\t5\ng2\tALL\tmany\n\tALL\t4\n",
+        "current_listing_counts_2024-13_20240201_df.txt": head + "g1\tCONDO\t5\n",
+        "bc_current_listing_counts_2024-02_20240301_df.txt": head + "g1\tCONDO\t7\n",
+        "notes.txt": head + "x\ty\t1\n",
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    good, aside = archives.recovered_snapshots(spark, str(tmp_path))
+    assert {tuple(r) for r in good.collect()} == {("ON", dt.date(2024, 1, 31), "g1", "CONDO", 5), ("BC", dt.date(2024, 2, 29), "g1", "CONDO", 7)}
+    assert {(r["file"][:30], r["reason"], r["rows"]) for r in aside.collect()} == {("current_listing_counts_2024-01", "no count", 1), ("current_listing_counts_2024-01", "no area or type", 1), ("current_listing_counts_2024-13", "no month", 1), ("notes.txt", "no archive of counts", 1)}
+
+
 def test_stages_resume(spark, tmp_path):
     run, made = Run(spark, str(tmp_path), "job"), []
 
