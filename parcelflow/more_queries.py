@@ -415,3 +415,27 @@ def _(spark, d):
         left = left.select(F.lit(group).alias("gone"), "geog_id", "propertyType", F.get("metrics.last_mth_new_listings.value", F.lit(0)).alias("last_new"), F.col("metrics.current_metrics.new_listings").alias("current_new"), F.dayofmonth("last_updated").alias("day"))
         out = left if out is None else out.union(left)
     return out
+
+
+def _details(spark, d):
+    """A JSON text for each part, of various forms: numbers as text, fields that are missing or of another type, text that is
+    no JSON."""
+    k, size, lit = F.col("p_partkey"), F.col("p_size"), F.lit
+    address = F.when(size % 3 > 0, F.struct(lit("ON").alias("province"), F.when(size % 4 > 0, F.col("p_brand")).alias("city")))
+    level = F.when(size % 5 == 0, F.concat(lit('"'), size % 7, lit('"'))).when(size % 5 == 1, lit('"none"')).otherwise((size % 7).cast("string"))
+    centre = F.when(k % 2 == 0, F.array((k % 90).cast("double") + 0.5, (k % 180).cast("double") - 0.5)).otherwise(F.array((k % 90).cast("double")))
+    text = F.concat(lit('{"name":'), F.to_json(F.array("p_name")), lit(',"level":'), level, lit(',"address":'), F.coalesce(F.to_json(address), lit("null")), lit(',"centre":'), F.to_json(centre), F.when(k % 6 == 0, lit(',"notes":{"a":1}')).otherwise(""), F.when(k % 10 > 0, lit("}")).otherwise(""))
+    text = F.replace(F.replace(text, lit('"name":['), lit('"name":')), lit('],"level"'), lit(',"level"'))
+    return S.table(spark, d, "part").select(F.concat(lit("g"), k).alias("geog_id"), text.alias("data"))
+
+
+@query("s09_geo_details", None, """SELECT geog_id, CASE WHEN ok THEN p_name END AS name, NULL::VARCHAR AS long_name, CASE WHEN ok AND p_size % 5 <> 1 THEN CAST(p_size % 7 AS INT) END AS level, CASE WHEN ok AND p_size % 3 > 0 THEN 'ON' END AS province,
+    CASE WHEN ok AND p_size % 3 > 0 AND p_size % 4 > 0 THEN p_brand END AS city, CASE WHEN ok THEN p_partkey % 90 + CASE WHEN p_partkey % 2 = 0 THEN 0.5::DOUBLE ELSE 0 END END AS lat, CASE WHEN ok AND p_partkey % 2 = 0 THEN p_partkey % 180 - 0.5::DOUBLE END AS lng, NULL::VARCHAR AS parent_id
+    FROM (SELECT *, 'g' || p_partkey AS geog_id, p_partkey % 10 > 0 AS ok FROM part)""")
+def _(spark, d):
+    return listings.geo_details(_details(spark, d))
+
+
+@query("s09_undescribed", None, "SELECT 'notes' AS field, 'OBJECT<a: BIGINT>' AS kind, count(*) AS n FROM part WHERE p_partkey % 6 = 0 AND p_partkey % 10 > 0 UNION ALL SELECT NULL, NULL, count(*) FROM part WHERE p_partkey % 10 = 0")
+def _(spark, d):
+    return listings.undescribed(_details(spark, d))

@@ -106,3 +106,28 @@ def geo_catalogue(base: DataFrame, details: DataFrame) -> DataFrame:
     cols = [F.coalesce(F.col(f"__{c}"), F.col(c)).alias(c) if c in shared else F.col(c) for c in base.columns]
     more = [F.col(f"__{c}").alias(c) for c in details.columns if c not in base.columns]
     return joined.select(*cols, *more)
+
+
+#: Details of an area: a column's name, its place in the details, and its type.
+GEO_DETAILS = {
+    "name": ("$.name", "string"), "long_name": ("$.longName", "string"), "level": ("$.level", "int"), "province": ("$.address.province", "string"),
+    "city": ("$.address.city", "string"), "lat": ("$.centre[0]", "double"), "lng": ("$.centre[1]", "double"), "parent_id": ("$.parent.id", "string"),
+}
+
+
+def geo_details(rows: DataFrame, fields: dict[str, tuple[str, str]] | None = None, key: str = "geog_id", data: str = "data") -> DataFrame:
+    """key and one column for each field of the details, which are JSON text of any form: what a document lacks, or has in a
+    type that cannot be read as the field's, is null, and so is everything of text that is no JSON. Nothing is inferred, so
+    one odd document changes nothing for the others."""
+    details = F.try_parse_json(data)
+    return rows.select(key, details.alias("__v")).select(key, *(F.try_variant_get("__v", path, kind).alias(name) for name, (path, kind) in (fields or GEO_DETAILS).items()))
+
+
+def undescribed(rows: DataFrame, fields: dict[str, tuple[str, str]] | None = None, data: str = "data") -> DataFrame:
+    """(field, kind, n): top-level fields of the details that no column is made of, with the type they have and how many
+    documents have them; and (null, null, n) for text that is no JSON object."""
+    known = [path[2:].split(".")[0].split("[")[0] for path, _ in (fields or GEO_DETAILS).values()]
+    details = rows.select(F.try_parse_json(data).alias("v"))
+    found = details.lateralJoin(details.sparkSession.tvf.variant_explode_outer(F.col("v").outer()))
+    found = found.where(F.col("key").isNull() | ~F.col("key").isin(known))
+    return found.groupBy(F.col("key").alias("field"), F.schema_of_variant("value").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
