@@ -204,3 +204,43 @@ def test_expressions(spark):
     assert rows[0]["m"] == {10: "g10_a", 30: "g30_c"} and rows[0]["l"] == 10 and rows[1]["l"] is None
     assert rows[1]["t"] == at(2024, 1, 5, 10, 11, 12)
     assert X.window_start(at(2024, 3, 31)) == at(2019, 3, 1) and X.month_of(at(2024, 1, 31), 1) == "2023-12"
+
+
+def test_hierarchies_of_any_depth_and_circles(spark):
+    rows = [("a", None), ("b", "a"), ("c", "b"), ("d", "c"), ("e", "d"), ("f", "e"), ("g", "f"), ("x", "y"), ("y", "x"), ("self", "self"), ("lost", "gone")]
+    got = {tuple(r) for r in areas.ancestors(spark.createDataFrame(rows, "geog_id string, parent_id string")).collect()}
+    chain = "abcdefg"
+    want = {(chain[i], chain[j], i - j) for i in range(7) for j in range(i)} | {("x", "y", 1), ("y", "x", 1), ("self", "self", 1), ("lost", "gone", 1)}
+    assert got == want
+    assert areas.ancestors(spark.createDataFrame([], "geog_id string, parent_id string")).count() == 0
+
+
+def test_guids_by_parents_by_level_and_pushed(spark):
+    geo = catalogue(spark)
+    points = spark.createDataFrame([("inside", 0.5, 0.5), ("both", 0.5, 1.7), ("out", 8.0, 8.0), ("orphan", 9.5, 9.5)], "_id string, lat double, lng double")
+    assert {tuple(r) for r in areas.chased_guids(points, geo).collect()} == {("inside", "g10_x,g30_a,g40_r"), ("both", "g30_a,g40_r"), ("orphan", "g10_orphan,g30_gone")}
+    assert {tuple(r) for r in areas.first_per_level(points, geo).collect()} == {("inside", "g10_x,g30_a,g40_r"), ("both", "g30_a,g40_r"), ("orphan", "g10_orphan")}
+    now = at(2024, 4, 10, 12)
+    rows = [("new", None, at(2024, 4, 1), 1.0, 1.0), ("edge", "None", at(2024, 1, 11), 1.0, 1.0), ("old", None, at(2024, 1, 10), 1.0, 1.0), ("has", "g10_own", at(2024, 4, 1), 1.0, 1.0), ("nowhere", None, at(2024, 4, 1), 95.0, 1.0), ("unknown", None, at(2024, 4, 1), 1.0, 1.0), ("no day", None, None, 1.0, 1.0)]
+    sold = spark.createDataFrame(rows, "_id string, guid string, lastTransition timestamp_ntz, lat double, lng double")
+    known = spark.createDataFrame([(i, "g10_known") for i in ("new", "edge", "old", "has", "nowhere", "no day", "new")] + [("unknown", "None")], "_id string, guid string")
+    got = {r["_id"]: r["guid"] for r in areas.push_guids(sold, known, now).collect()}
+    assert got == {"new": "g10_known", "edge": "g10_known", "old": None, "has": "g10_own", "nowhere": None, "unknown": None, "no day": None}
+
+
+def test_recovered_and_removed_series(spark):
+    stamp, later = F.lit("2024-01-01").cast("timestamp_ntz"), F.lit("2024-01-02").cast("timestamp_ntz")
+    old = spark.createDataFrame([("g30_a", "ALL", 7), ("g30_kept", "ALL", 8)], "geog_id string, propertyType string, value bigint")
+    docs = upsert.upsert_month(spark.createDataFrame([], MARKET_TRENDS), old, "last_mth_new_listings", F.lit("1999-01"), stamp)
+    docs = upsert.upsert_month(docs, old.withColumn("value", F.lit(5.0)), "absorption_rate", F.lit("1999-01"), stamp)
+    archived = [("g30_a", "ALL", "2024-02", 2.0, 20), ("g30_a", "ALL", "2024-01", None, 10), ("g30_new", "CONDO", "2024-01", 3.0, None), ("bad", "ALL", "2024-01", 1.0, 1), ("g30_a", None, "2024-01", 1.0, 1), ("g30_a", "ALL", None, 1.0, 1)]
+    rows = spark.createDataFrame(archived, "geog_id string, propertyType string, month string, median_price double, new_listings_count bigint")
+    out = {r["geog_id"]: r for r in upsert.recover_last_month(docs, rows, later).collect()}
+    series = lambda g, n: [tuple(x) for x in out[g]["metrics"][n]] if out[g]["metrics"][n] is not None else None
+    assert out.keys() == {"g30_a", "g30_kept", "g30_new"}
+    assert series("g30_a", "last_mth_new_listings") == [("2024-01", 10), ("2024-02", 20)] and series("g30_a", "last_mth_median_asking_price") == [("2024-02", 2.0)]
+    assert series("g30_a", "absorption_rate") == [("1999-01", 5.0)] and series("g30_kept", "last_mth_new_listings") == [("1999-01", 8)]
+    assert series("g30_new", "last_mth_new_listings") == [] and series("g30_new", "last_mth_median_asking_price") == [("2024-01", 3.0)]
+    gone = upsert.remove_group(docs, "absorption", later).collect()
+    assert all(r["metrics"]["absorption_rate"] is None and r["metrics"]["last_mth_new_listings"] and r["last_updated"] == at(2024, 1, 2) for r in gone)
+    assert upsert.remove_comparables(docs).columns == docs.columns
