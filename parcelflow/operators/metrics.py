@@ -61,8 +61,9 @@ def sold_counts(exploded: DataFrame) -> DataFrame:
 def _cells_by_key(counts: DataFrame, value: str) -> DataFrame:
     """(geog_id, propertyType, <value>): each key's months as a map; repeated cells are averaged. A key has as many entries as
     there are months."""
-    cells = counts.where("month IS NOT NULL").groupBy("geog_id", "propertyType", "month").agg(F.avg(value).alias("__v"))
-    return cells.groupBy("geog_id", "propertyType").agg(F.map_from_entries(F.collect_list(F.struct("month", "__v"))).alias(value))
+    cells = counts.groupBy("geog_id", "propertyType", "month").agg(F.avg(value).alias("__v"))
+    entry = F.when(F.col("month").isNotNull(), F.struct("month", "__v"))
+    return cells.groupBy("geog_id", "propertyType").agg(F.map_from_entries(F.collect_list(entry)).alias(value))
 
 
 def _months(*tables: DataFrame) -> DataFrame:
@@ -76,8 +77,12 @@ def _months(*tables: DataFrame) -> DataFrame:
 
 def dense(counts: DataFrame, value: str, months: DataFrame | None = None) -> DataFrame:
     """Every (geog_id, propertyType) with every month of the table, or of `months`, missing ones as 0; repeated cells are
-    averaged. Keys without a type or area stay. Nothing is counted to plan it: the months come as one row."""
-    rows = _cells_by_key(counts, value).join(F.broadcast(_months(counts if months is None else months)))
+    averaged. Keys without a type or area stay, and a missing month is one more month, without values. Nothing is counted to
+    plan it: the months come as one row."""
+    months = counts if months is None else months
+    none = F.when(F.count_if(F.col("month").isNull()) > 0, F.array(F.lit(None).cast("string"))).otherwise(F.array().cast("array<string>"))
+    row = months.agg(F.concat(F.collect_set(F.col("month").cast("string")), none).alias("__months"))
+    rows = _cells_by_key(counts, value).join(F.broadcast(row))
     rows = rows.select("geog_id", "propertyType", value, F.explode("__months").alias("month"))
     return rows.select("geog_id", "propertyType", "month", F.coalesce(F.try_element_at(value, F.col("month")), F.lit(0.0)).alias(value))
 
