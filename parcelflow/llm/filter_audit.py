@@ -60,17 +60,21 @@ def _class(text: Column, blocks: int) -> Column:
     return F.xxhash64(F.length(text), *_blocks(text)[:blocks])
 
 
-def refine(rows: DataFrame, hashes: list[str]) -> DataFrame:
+def refine(rows: DataFrame, hashes: list[str], n_rows: int) -> DataFrame:
     """(doc_id, class) of the rows that are not alone in their class after the length and all block hashes.
 
-    rows: doc_id, n_chars and the hashes. A round groups what the one before left, by all it knows of a text. Classes are
-    told by 64 bits, so different texts may share one; comparing them is left to the caller.
+    rows: doc_id, n_chars and the hashes. A round groups what the one before left, by all it knows of a text. Rows of large
+    classes stay where they are, the others are joined with their class's size. Classes are told by 64 bits, so different
+    texts may share one; comparing them is left to the caller.
     """
     alive = rows.select("doc_id", F.xxhash64("n_chars").alias("class"), "n_chars", *hashes)
     for k in range(len(hashes) + 1):
         alive = alive.withColumn("class", F.xxhash64("n_chars", *hashes[:k]))
-        several = alive.groupBy("class").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("class")
-        alive = shared_table(alive.join(several, "class", "left_semi").select("doc_id", "class", "n_chars", *hashes), f"alive{k}")
+        several = shared_table(alive.groupBy("class").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), f"several{k}")
+        large = F.col("n") > max(1, int(n_rows * SUPPORT))
+        hot = F.broadcast(several.where(large).select("class"))
+        kept = alive.join(hot, "class", "left_semi").unionByName(alive.join(hot, "class", "left_anti").join(several.where(~large), "class", "left_semi"))
+        alive = shared_table(kept.select("doc_id", "class", "n_chars", *hashes), f"alive{k}")
     return alive.select("doc_id", "class")
 
 
@@ -112,7 +116,7 @@ def failures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     rows = docs.select("doc_id", "part", own.alias("fails"), F.length("text").alias("n_chars"), *(h.alias(name) for h, name in zip(_blocks(text), hashes)))
     rows = shared_table(rows, "signatures")
     n_rows = rows.count()
-    alike, mixed = first_ids(docs, refine(rows, hashes), len(hashes))
+    alike, mixed = first_ids(docs, refine(rows, hashes, n_rows), len(hashes))
     rows = rows.select("doc_id", "part", "fails", F.xxhash64("n_chars", *hashes).alias("class"))
     several = shared_table(mixed, "mixed_texts")
     if several.isEmpty():
