@@ -12,7 +12,7 @@ from .functions import polygons
 from .operators import areas, diff, lookup, mapping, merge, metrics, nearby, upsert
 from .plans import absorption, asking, comparables, sold_series
 from .plans.runner import Run, scratch
-from .queries import _CODED_SQL, _RATES_SQL, ACTIVE_AS_OF, AS_OF, _coded, _documents, _snapshots, _sql_values, _time, _triples, _TRIPLES_SQL, _values, query
+from .queries import _CODED_SQL, _RATES_SQL, ACTIVE_AS_OF, AS_OF, _coded, _documents, _snapshots, _time, _triples, _TRIPLES_SQL, _values, query
 from .schemas import MARKET_TRENDS
 from .sources import listings
 

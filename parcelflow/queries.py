@@ -68,11 +68,6 @@ def _values(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def _sql_values(rows: list[tuple], columns: str) -> str:
-    text = lambda v: "NULL" if v is None else "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
-    return "(VALUES " + ", ".join("(" + ", ".join(map(text, r)) + ")" for r in rows) + f") AS v({columns})"
-
-
 def _exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return areas.explode_areas(S.sold(spark, sf_dir))
 
