@@ -9,9 +9,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.expressions import time_literal
+from ..plans.runner import spread
 
 
 def _one_of_each(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
+    spread(rows.sparkSession)
     w = W.partitionBy(*keys).orderBy(*order)
     return rows.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
 
