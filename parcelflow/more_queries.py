@@ -11,7 +11,7 @@ from .functions import expressions as X
 from .functions import polygons
 from .operators import areas, diff, lookup, mapping, merge, metrics, nearby, upsert
 from .plans import absorption, asking, comparables, sold_series
-from .plans.runner import Run, scratch
+from .plans.runner import Run, kept, scratch
 from .queries import _CODED_SQL, _RATES_SQL, ACTIVE_AS_OF, AS_OF, _coded, _documents, _snapshots, _time, _triples, _TRIPLES_SQL, _values, query
 from .schemas import MARKET_TRENDS
 from .sources import listings
@@ -326,7 +326,7 @@ def _(spark, d):
 @query("k05_rates_replaced", "sold exploded windowed leveled active live snapshots", f"""SELECT d.geog_id, d.propertyType, coalesce(n, 0)::INT AS months, first FROM (SELECT DISTINCT geog_id, propertyType FROM leveled) d
     LEFT JOIN (SELECT geog_id, propertyType, count(absorption_rate) AS n, arg_min(absorption_rate, month) FILTER (WHERE absorption_rate IS NOT NULL) AS first FROM (WITH unused AS (SELECT 1) {_RATES_SQL}) GROUP BY ALL) r USING (geog_id, propertyType)""")
 def _(spark, d):
-    rates = metrics.series_arrays(absorption.rates(S.sold(spark, d), _snapshots(spark, d)), "absorption_rate", "absorption_rate")
+    rates = kept(metrics.series_arrays(absorption.rates(S.sold(spark, d), kept(_snapshots(spark, d), "snapshots")), "absorption_rate", "absorption_rate"), "rates")
     made = rates.union(rates.select(F.lit("g40_none"), "propertyType", "absorption_rate"))
     docs = upsert.replace_existing(_documents(spark, d), made, ["absorption_rate"], _time("2001-08-16"))
     series = F.col("metrics.absorption_rate")
@@ -345,7 +345,7 @@ _RATES_OF_ONE = _RATES_SQL.replace("SELECT geog_id, propertyType, month, sold_co
 
 @query("r4_absorption_rates", "sold exploded active live snapshots", _RATES_OF_ONE + " WHERE geog_id = 'g40_r1' AND propertyType = 'CONDO'")
 def _(spark, d):
-    rates = absorption.rates(S.sold(spark, d), _snapshots(spark, d))
+    rates = absorption.rates(S.sold(spark, d), kept(_snapshots(spark, d), "snapshots"))
     return lookup.absorption_rates(rates, "g40_r1", "CONDO").withColumn("absorption_rate", F.round("absorption_rate", 6))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.expressions import below_ask, geo_level, month_key, over_ask, percent_true
+from ..functions.expressions import below_ask, geo_level, month_key, month_start, over_ask, percent_true
 from ..schemas import ALL_TYPES, STANDARD_TYPES
 from .selection import with_medians
 
@@ -16,7 +16,7 @@ SOLD_METRICS = ["median_sold_price", "median_dom", "over_ask_percentage", "below
 def with_all_types(rows: DataFrame, kind: str = "propertyType") -> DataFrame:
     """Each row twice: for its own type and for ALL. Rows without a type count for ALL only. So one shuffle serves both
     levels."""
-    kinds = F.filter(F.array(F.lit(ALL_TYPES), F.col(kind)), lambda k: k.isNotNull())
+    kinds = F.when(F.col(kind).isNull(), F.array(F.lit(ALL_TYPES))).otherwise(F.array(F.lit(ALL_TYPES), F.col(kind)))
     return rows.withColumn(kind, F.explode(kinds))
 
 
@@ -26,11 +26,22 @@ def sold_series(exploded: DataFrame, metrics: list[str] | None = None) -> DataFr
     names = metrics or SOLD_METRICS
     middle = {"median_sold_price": "soldPrice", "median_dom": "daysOnMarket"}
     every: dict[str, Column] = {"over_ask_percentage": percent_true(over_ask()), "below_ask_percentage": percent_true(below_ask()), "sold_listing_count": F.count("_id")}
-    rows = with_all_types(exploded.withColumn("month", month_key("lastTransition")).where("month is not null"))
+    if names == ["sold_listing_count"]:
+        return _monthly_counts(exploded, F.count("_id"), "sold_listing_count")
+    rows = with_all_types(exploded.withColumn("month", month_start("lastTransition")).where("month is not null"))
     keys, others = ["geog_id", "propertyType", "month"], {m: every[m] for m in names if m in every}
     wanted = {m: middle[m] for m in names if m in middle}
     out = with_medians(rows, keys, wanted, others) if wanted else rows.groupBy(*keys).agg(*(a.alias(m) for m, a in others.items()))
-    return out.select(*keys, *names)
+    return out.withColumn("month", month_key("month")).select(*keys, *names)
+
+
+def _monthly_counts(exploded: DataFrame, count: Column, name: str) -> DataFrame:
+    """A count by area, type and month of lastTransition. Rows are counted by their own type, or none, and only those counts
+    are doubled for ALL; months are dates until then."""
+    keys = ["geog_id", "propertyType", "month"]
+    own = exploded.withColumn("month", month_start("lastTransition")).where("month is not null").groupBy(*keys).agg(count.alias(name))
+    out = with_all_types(own).groupBy(*keys).agg(F.coalesce(F.sum(name), F.lit(0)).alias(name))
+    return out.withColumn("month", month_key("month"))
 
 
 def long_series(wide: DataFrame, metrics: list[str] | None = None) -> DataFrame:
@@ -54,8 +65,7 @@ def inventory(exploded: DataFrame) -> DataFrame:
 
 def sold_counts(exploded: DataFrame) -> DataFrame:
     """sold_count by area, type and month; ALL counts listings without a type too."""
-    rows = with_all_types(exploded.withColumn("month", month_key("lastTransition")).where("month is not null"))
-    return rows.groupBy("geog_id", "propertyType", "month").agg(F.count(F.lit(1)).alias("sold_count"))
+    return _monthly_counts(exploded, F.count(F.lit(1)), "sold_count")
 
 
 def _cells_by_key(counts: DataFrame, value: str) -> DataFrame:
@@ -89,8 +99,10 @@ def dense(counts: DataFrame, value: str, months: DataFrame | None = None) -> Dat
 
 def absorption(sold: DataFrame, current: DataFrame) -> DataFrame:
     """absorption_rate = sold / current and months_of_inventory = current / sold, over keys and months that both sides
-    have; a division by nought gives null. Keys are joined with all their months, which are unfolded last."""
-    both = _cells_by_key(sold, "sold_count").join(_cells_by_key(current, "current_count"), ["geog_id", "propertyType"])
+    have; a division by nought gives null. Keys are joined with all their months, which are unfolded last. Each side is read
+    twice; keys that the other one lacks are left out before their months are gathered."""
+    held = sold.join(current.select("geog_id", "propertyType").distinct(), ["geog_id", "propertyType"], "left_semi")
+    both = _cells_by_key(held, "sold_count").join(_cells_by_key(current, "current_count"), ["geog_id", "propertyType"])
     both = both.join(F.broadcast(_months(sold, current))).select("*", F.explode("__months").alias("month"))
     of = lambda name: F.coalesce(F.try_element_at(name, F.col("month")), F.lit(0.0)).alias(name)
     both = both.select("geog_id", "propertyType", "month", of("sold_count"), of("current_count"))
@@ -100,8 +112,8 @@ def absorption(sold: DataFrame, current: DataFrame) -> DataFrame:
 
 def from_first_snapshot(sold: DataFrame, snapshots: DataFrame) -> DataFrame:
     """Sold rows (with lastTransition) from the first snapshot's month on; none without snapshots."""
-    first = snapshots.agg(F.date_format(F.min("year_month"), "yyyy-MM").alias("__first"))
-    return sold.join(F.broadcast(first), month_key("lastTransition") >= F.col("__first")).drop("__first")
+    first = snapshots.agg(month_start(F.min("year_month")).alias("__first"))
+    return sold.join(F.broadcast(first), month_start("lastTransition") >= F.col("__first")).drop("__first")
 
 
 def complete_matrix(areas: DataFrame, metrics: DataFrame, types: list[str] | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.expressions import month_end, month_of
 from ..operators import diff, metrics
 from ..operators.areas import explode_areas
+from .runner import kept, spread
 
 
 def snapshot(active: DataFrame, as_of: dt.datetime, valid: DataFrame | None = None) -> DataFrame:
@@ -19,8 +20,9 @@ def snapshot(active: DataFrame, as_of: dt.datetime, valid: DataFrame | None = No
 
 
 def rates(sold: DataFrame, snapshots: DataFrame, valid: DataFrame | None = None) -> DataFrame:
-    """Dense monthly rates from sold listings, from the first snapshot's month on."""
-    counts = metrics.sold_counts(explode_areas(metrics.from_first_snapshot(sold, snapshots), valid))
+    """Dense monthly rates from sold listings, from the first snapshot's month on. The counts are made once, and written."""
+    spread(sold.sparkSession)
+    counts = kept(metrics.sold_counts(explode_areas(metrics.from_first_snapshot(sold, snapshots), valid)), "sold-counts")
     current = snapshots.select("geog_id", "propertyType", F.date_format("year_month", "yyyy-MM").alias("month"), "current_count")
     return metrics.absorption(counts, current)
 
