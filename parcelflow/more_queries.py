@@ -336,7 +336,7 @@ def _(spark, d):
 @query("c01_other_months", "sold exploded windowed leveled", "SELECT geog_id, propertyType, strftime(lastTransition, '%Y-%m') AS month, count(_id) AS value FROM leveled GROUP BY ALL")
 def _(spark, d):
     """The earlier run lacks a month, so all of the later one counts as changed."""
-    long = sold_series.series(S.sold(spark, d), AS_OF, wanted=["sold_listing_count"]).withColumnRenamed("sold_listing_count", "value")
+    long = kept(sold_series.series(S.sold(spark, d), AS_OF, wanted=["sold_listing_count"]), "series").withColumnRenamed("sold_listing_count", "value")
     return diff.series_delta(long.where("month <> '1999-03'"), long)
 
 
