@@ -58,11 +58,11 @@ def test_months_are_put_from_one_table(spark, monkeypatch):
 def test_tasks_follow_the_input(spark):
     """One of each id, with more tasks than the session's shuffle partitions where the rows ask for them."""
     name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    spark.conf.set(name, "256k")
+    spark.conf.set(name, "1m")
     try:
-        rows = spark.range(400_000).selectExpr("cast(id % 300000 as string) as _id", "id as v")
-        out = merge.keep_first(rows.where("v < 300000"), rows.where("v >= 300000"))
+        rows = spark.range(1_600_000).selectExpr("cast(id % 1200000 as string) as _id", "id as v")
+        out = merge.keep_first(rows.where("v < 1200000"), rows.where("v >= 1200000"))
         assert out.rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
-        assert out.count() == 300_000
+        assert out.count() == 1_200_000
     finally:
         spark.conf.unset(name)
