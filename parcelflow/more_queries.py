@@ -308,7 +308,7 @@ def _(spark, d):
     a, s = S.active(spark, d), S.sold(spark, d)
     run = Run(spark, scratch(spark, "comparables"), "earlier")
     before = run.stage("comparables", lambda: comparables.run(a, s.where(F.col("lastTransition") < _time("2001-01-01")))["comparables"])
-    return comparables.run(a, s, before)["changed"].select("listing_id", F.size("comps").alias("n"))
+    return comparables.run(a, s, before)["changed"].select("listing_id", "n")
 
 
 @query("c03_comparables_changed", "sold active", _CHANGED_SQL + f" UNION SELECT listing_id, n::INT FROM {_NOW} WHERE listing_id LIKE '%7' AND far > 0.3")

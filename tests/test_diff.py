@@ -59,6 +59,18 @@ def test_comparables_delta(spark):
     assert ids(diff.comparables_delta(old, new, removals=True)) == ["fresh", "gone", "more", "moved", "new"]
 
 
+def test_ids_of_comparables_are_compared_as_sets_without_being_shuffled(spark):
+    schema = "listing_id string, comps array<struct<sold_id:string,distance_km:double>>"
+    old = spark.createDataFrame([("swapped", [("s1", 0.1), ("s2", 0.1)]), ("other", [("s1", 0.1), ("s2", 0.1)]), ("twice", [("s1", 0.1), ("s1", 0.1)]), ("null", [("s1", 0.1), (None, 0.1)]), ("none", None), ("empty", [])], schema)
+    new = spark.createDataFrame([("swapped", [("s2", 0.1), ("s1", 0.1)]), ("other", [("s1", 0.1), ("s3", 0.1)]), ("twice", [("s1", 0.1), ("s2", 0.1)]), ("null", [("s1", 0.1), ("s1", 0.1)]), ("none", None), ("empty", [])], schema)
+    out = diff.comparables_delta(old, new)
+    assert {r["listing_id"]: r["n"] for r in out.where("n is not null").collect()} == {"other": 2, "twice": 2, "null": 2}
+    assert out.where("n is null").count() == 1
+    plan = out.select("listing_id", "n")._jdf.queryExecution().optimizedPlan()
+    joined = next(line for line in plan.toString().splitlines() if "Join" in line)
+    assert "comps" not in joined and "comps" not in plan.toString().splitlines()[0]
+
+
 def test_append_month_is_idempotent(spark):
     schema = "year_month date, geog_id string, propertyType string, current_count bigint"
     a = spark.createDataFrame([(dt.date(2024, 1, 31), "g", "CONDO", 1)], schema)

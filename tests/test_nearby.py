@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 from parcelflow.operators import nearby
 
@@ -40,3 +41,39 @@ def test_dense_sales_make_few_pairs_and_lose_none(spark):
     every = sum(x[1:4] == y[1:4] and _km(x, y) < 1.0 for x in active for y in sold)
     made = nearby.candidates(a, s).count()
     assert made * 3 < every, (made, every)
+
+
+def _exchanges(df):
+    """The shuffles of a plan, by what they are shuffled by, each counted once."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sorted(re.findall(r"(?<!Broadcast)Exchange ([a-z]+\([a-zA-Z_]*)", plan))
+
+
+def _few(spark):
+    rng = random.Random(8)
+    spot = lambda: (43.99 + rng.random() * 0.03, -79.42 + rng.random() * 0.04)
+    s = spark.createDataFrame([(f"s{k:04d}", "CONDO", 1, 1, *spot()) for k in range(900)], SCHEMA)
+    a = [(f"a{k:03d}", "CONDO", 1, 1, *spot()) for k in range(80)]
+    a += [(f"a{k:03d}", "CONDO", 1, 1, *spot()) for k in range(5)]  # ids that stand at two places
+    a += [("a005", "CONDO", 1, 1, None, -79.4), ("u1", None, 1, 1, 44.0, -79.4), ("u2", "CONDO", 1, 1, 44.0, None), ("u2", "CONDO", 1, 1, None, -79.4)]
+    a += [("far", "CONDO", 1, 1, 50.0, -79.4), (None, "CONDO", 1, 1, 44.0, -79.4), (None, "CONDO", 1, 1, 44.0, -79.4)]
+    return spark.createDataFrame(a, SCHEMA), s
+
+
+def test_lists_are_the_comparables_of_every_id(spark):
+    """With ids at several places, some of them unplaced, and listings without a sale, a place or an id."""
+    a, s = _few(spark)
+    lists = lambda df: sorted(((r["listing_id"], [tuple(c) for c in r["comps"]]) for r in df.collect()), key=repr)
+    found = lists(nearby.comparable_lists(a, s))
+    assert found == lists(nearby.comparable_arrays(nearby.comparables(a, s), a))
+    want = _nearest([r for r in a.collect() if r["_id"] and r["propertyType"] and r["lat"] and r["lng"]], s.collect())
+    assert {k: [i for i, _ in v] for k, v in found if v} == {k: [i for _, i in v] for k, v in want.items()}
+    assert [k for k, v in found if not v] == ["far", "u1", "u2", None]
+
+
+def test_pairs_are_ranked_where_they_are_made(spark):
+    """Listings and sales are shuffled by tile, and nothing after that, where ids stand once."""
+    a, s = _few(spark)
+    a = a.where("_id is not null").dropDuplicates(["_id"])
+    assert _exchanges(nearby.comparables(a, s)) == ["hashpartitioning(tile"] * 2
+    assert [x for x in _exchanges(nearby.comparable_lists(a, s)) if "tile" in x] == ["hashpartitioning(tile"] * 2

@@ -1,10 +1,15 @@
 """Tables that are costly to make are made once, and tasks do not grow with the input."""
 
+import glob
+import tempfile
+import time
+
 import pytest
 
 from parcelflow import more_queries, queries, surrogate  # noqa: F401
 from parcelflow.operators import merge
 from parcelflow.plans import absorption, sold_series
+from parcelflow.plans.runner import kept
 
 DATA = "/root/testdata/sf0.001"
 
@@ -65,3 +70,24 @@ def test_tasks_follow_the_input(spark):
         assert out.count() == 1_200_000
     finally:
         spark.conf.unset(name)
+
+
+def test_comparables_read_the_sales_once(spark, monkeypatch):
+    sold = surrogate.sold(spark, DATA)
+    rows, seen = counted(spark, sold)
+    monkeypatch.setattr(surrogate, "sold", lambda *_: rows)
+    assert queries.QUERIES["j01_comparables"](spark, DATA).count() > 0
+    assert seen.value == sold.count()
+
+
+def test_shuffles_of_what_is_kept_are_deleted(spark):
+    files = lambda: set(glob.glob(f"{spark.conf.get('spark.local.dir', tempfile.gettempdir())}/blockmgr-*/*/shuffle_*.data"))
+    before, rows = files(), spark.range(1000).selectExpr("id % 10 as k").repartition(4, "k")
+    assert rows.count() == 1000 and files() - before
+    before = files()
+    table = kept(rows.groupBy("k").count(), "kept")
+    for _ in range(50):  # they are deleted in the background
+        if not (left := files() - before):
+            break
+        time.sleep(0.1)
+    assert not left and table.count() == 10
