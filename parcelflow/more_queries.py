@@ -316,11 +316,10 @@ def _(spark, d):
     """The same, where one listing in ten has kept its sales but for a distance beyond 300 metres that was measured anew; a
     distance that differs by rounding alone is no change."""
     a, s = S.active(spark, d), S.sold(spark, d)
-    now = nearby.comparable_arrays(nearby.comparables(a, s), a)
-    before = nearby.comparable_arrays(nearby.comparables(a, s.where(F.col("lastTransition") < _time("2001-01-01"))), a)
+    now, before = nearby.comparable_lists(a, s), nearby.comparable_lists(a, s.where(F.col("lastTransition") < _time("2001-01-01")))
     moved = lambda x: F.when(F.col("listing_id").endswith("7") & (x["distance_km"] > 0.3), x["distance_km"] * 1.01).otherwise(x["distance_km"] * (1 + 1e-12))
     before = before.withColumn("comps", F.transform("comps", lambda x: F.struct(x["sold_id"].alias("sold_id"), moved(x).alias("distance_km"))))
-    return diff.comparables_delta(before, now).select("listing_id", F.size("comps").alias("n"))
+    return diff.comparables_delta(before, now).select("listing_id", "n")
 
 
 @query("k05_rates_replaced", "sold exploded windowed leveled active live snapshots", f"""SELECT d.geog_id, d.propertyType, coalesce(n, 0)::INT AS months, first FROM (SELECT DISTINCT geog_id, propertyType FROM leveled) d

@@ -72,12 +72,13 @@ def test_tasks_follow_the_input(spark):
         spark.conf.unset(name)
 
 
-def test_comparables_read_the_sales_once(spark, monkeypatch):
+@pytest.mark.parametrize("name, times", [("j01_comparables", 1), ("k07_comparable_values", 1), ("k07_put_comparables", 1), ("c03_comparables_delta", 2), ("c03_comparables_changed", 2)])
+def test_comparables_read_the_sales_once_a_run(spark, monkeypatch, name, times):
     sold = surrogate.sold(spark, DATA)
     rows, seen = counted(spark, sold)
     monkeypatch.setattr(surrogate, "sold", lambda *_: rows)
-    assert queries.QUERIES["j01_comparables"](spark, DATA).count() > 0
-    assert seen.value == sold.count()
+    assert len(queries.QUERIES[name](spark, DATA).collect()) > 0
+    assert seen.value == times * sold.count()
 
 
 def test_shuffles_of_what_is_kept_are_deleted(spark):
